@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.session import ship
+
 #: ASCII white space as a character class for Java's and DuckDB's regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -65,6 +67,7 @@ def map_arrow(df: DataFrame, work, schema: str) -> DataFrame:
     from pyspark.sql.types import _parse_datatype_string
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    ship(df.sparkSession)
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from siltstone.llm.mixing import op3_mixing
+from siltstone.llm.packing import op6_packing
 from siltstone.llm.simhash import op9_simhash
+from siltstone.llm.tokenfile import op7_tokenfile
 
 QUERIES = {
     "op3_mixing": op3_mixing,
+    "op6_packing": op6_packing,
+    "op7_tokenfile": op7_tokenfile,
     "op9_simhash": op9_simhash,
 }
 
