@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siltstone.session import ship
 
@@ -62,13 +63,12 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
-def map_arrow(df: DataFrame, work, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, work, schema: str | StructType) -> DataFrame:
     """mapInArrow where work turns an iterator of (dict of columns as Arrow arrays, row count) into dicts of columns."""
-    from pyspark.sql.types import _parse_datatype_string
     from pyspark.sql.pandas.types import to_arrow_schema
 
     ship(df.sparkSession)
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    arrow = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def columns():

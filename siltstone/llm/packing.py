@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siltstone.llm.common import map_arrow, stash, table, texts_of
 from siltstone.llm.tokens import default_path, encoder
@@ -201,8 +202,8 @@ def place(items: DataFrame, capacity: int, per_slice: int = 200_000) -> DataFram
             nth = rank - first[at]
             yield {k: v for k, v in b.items() if k != "_rank"} | {"sequence_id": pa.array(sequence[at] + nth // copies[at]), "offset": pa.array(offset[at] + nth % copies[at] * size)}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema if f.name != "_rank")
-    return map_arrow(ranked, work, f"{schema}, sequence_id long, offset long")
+    schema = StructType([f for f in ranked.schema if f.name != "_rank"]).add("sequence_id", "long").add("offset", "long")
+    return map_arrow(ranked, work, schema)
 
 
 def pack(docs: DataFrame, tokenizer: str, length: int = 4096, end: int = 1) -> DataFrame:

@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from siltstone.llm.mixing import op3_mixing
+from siltstone.llm.oph import op2_oph
 from siltstone.llm.packing import op6_packing
+from siltstone.llm.quality import op5_quality
 from siltstone.llm.simhash import op9_simhash
 from siltstone.llm.tokenfile import op7_tokenfile
+from siltstone.llm.toxicity import op10_toxicity
 
 QUERIES = {
+    "op2_oph": op2_oph,
     "op3_mixing": op3_mixing,
+    "op5_quality": op5_quality,
     "op6_packing": op6_packing,
     "op7_tokenfile": op7_tokenfile,
     "op9_simhash": op9_simhash,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
