@@ -26,19 +26,26 @@ def default_path() -> str:
 
 
 class Encoder:
-    """Encodes texts to little-endian unsigned 32-bit ids, without special tokens."""
+    """Encodes texts to little-endian unsigned 32-bit ids, without special tokens.
 
-    def __init__(self, path: str, capacity: int = 400_000):
+    If the tokenizer lower-cases, so are A-Z before texts are cut, which leaves
+    fewer distinct pieces. Texts that then hold an added token are encoded
+    whole, as those are looked for before lower-casing.
+    """
+
+    def __init__(self, path: str, capacity: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to other tasks
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.capacity = capacity
-        self.pieces = re.compile(r"[^ \t\r\n]+").findall
-        self.known: dict[str, bytes] = {}
-        # Pieces of plain letters with points or commas after them are one or two words to the pre-tokenizer, and each word ends in an id with the end-of-word mark.
-        mark = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
-        self.plain = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+([.,]*)").fullmatch if mark else None
+        self.known: dict[bytes, bytes] = {}
+        made = json.loads(self.tokenizer.to_str())
+        self.lowers = '"Lowercase"' in json.dumps(made.get("normalizer"))
+        self.added = [t["content"].lower().encode() for t in made["added_tokens"]]
+        # Pieces of plain letters (A-Z and those of Latin-1) with points or commas after them are one or two words to the pre-tokenizer, and each word ends in an id with the end-of-word mark.
+        mark = made["model"].get("end_of_word_suffix")
+        self.plain = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+([.,]*)").fullmatch if mark else None
         self.last = np.zeros(self.vocabulary + 1, bool)
         self.last[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if mark and t.endswith(mark)]] = True
 
@@ -46,7 +53,7 @@ class Encoder:
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
-    def learn(self, new: list[str]) -> None:
+    def learn(self, new: list[bytes]) -> None:
         """Encodes pieces: plain ones many at a time, as one text that is cut again at ends of words, the others one by one."""
         words, rest = [], []
         for piece in new:
@@ -57,7 +64,7 @@ class Encoder:
                 rest.append(piece)
         for i in range(0, len(words), 4096):
             some = words[i : i + 4096]
-            ids = np.array(self.tokenizer.encode(" ".join([p for p, _ in some]), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join([p for p, _ in some]).decode()], add_special_tokens=False)[0].ids, "<u4")
             bounds = np.cumsum([n for _, n in some]) - 1
             ends = np.flatnonzero(self.last[ids])
             if len(ends) != bounds[-1] + 1:
@@ -66,22 +73,30 @@ class Encoder:
             ends, data = (4 * (ends[bounds] + 1)).tolist(), ids.tobytes()
             for (piece, _), a, b in zip(some, [0, *ends[:-1]], ends, strict=True):
                 self.known[piece] = data[a:b]
-        for piece, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+        for piece, found in zip(rest, self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False), strict=True):
             self.known[piece] = np.array(found.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str], end: int | None = None) -> Iterator[bytes]:
         """Each text's ids as bytes, with the id end after them if given."""
         tail, at = b"" if end is None else end.to_bytes(4, "little"), 0
         while at < len(texts):
-            upto, size = at, 0
+            upto, size, split = at, 0, []
             while upto < len(texts) and (upto == at or size < 1 << 22):
-                size += len(texts[upto])
+                data = texts[upto].encode()
+                low = data.lower()
+                if any(t in low for t in self.added):
+                    split.append(None)
+                else:
+                    split.append((low if self.lowers else data).split())
+                size += len(data)
                 upto += 1
-            split = [self.pieces(t) for t in texts[at:upto]]
-            new = list(set().union(*split).difference(self.known))
+            new = list(set().union(*filter(None, split)).difference(self.known))
             self.learn(new)
-            for words in split:
-                yield b"".join(map(self.known.__getitem__, words)) + tail
+            for text, words in zip(texts[at:upto], split, strict=True):
+                if words is None:
+                    yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + tail
+                else:
+                    yield b"".join(map(self.known.__getitem__, words)) + tail
             if len(self.known) > self.capacity:
                 for piece in new:
                     del self.known[piece]
