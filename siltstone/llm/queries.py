@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from siltstone.llm.hpylm import op8_hpylm
 from siltstone.llm.mixing import op3_mixing
 from siltstone.llm.oph import op2_oph
 from siltstone.llm.packing import op6_packing
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_packing": op6_packing,
     "op7_tokenfile": op7_tokenfile,
+    "op8_hpylm": op8_hpylm,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
 }
