@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from siltstone.llm.ann import op4_ann
 from siltstone.llm.hpylm import op8_hpylm
 from siltstone.llm.mixing import op3_mixing
 from siltstone.llm.oph import op2_oph
@@ -14,6 +15,7 @@ from siltstone.llm.toxicity import op10_toxicity
 QUERIES = {
     "op2_oph": op2_oph,
     "op3_mixing": op3_mixing,
+    "op4_ann": op4_ann,
     "op5_quality": op5_quality,
     "op6_packing": op6_packing,
     "op7_tokenfile": op7_tokenfile,
