@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from siltstone.llm.ann import op4_ann
 from siltstone.llm.hpylm import op8_hpylm
+from siltstone.llm.licenses import ORACLE as OP1_SQL
+from siltstone.llm.licenses import op1_licenses
 from siltstone.llm.mixing import op3_mixing
 from siltstone.llm.oph import op2_oph
 from siltstone.llm.packing import op6_packing
@@ -13,6 +15,7 @@ from siltstone.llm.tokenfile import op7_tokenfile
 from siltstone.llm.toxicity import op10_toxicity
 
 QUERIES = {
+    "op1_licenses": op1_licenses,
     "op2_oph": op2_oph,
     "op3_mixing": op3_mixing,
     "op4_ann": op4_ann,
@@ -24,4 +27,4 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_licenses": OP1_SQL}
