@@ -107,12 +107,10 @@ def repeat_docs(docs: DataFrame, **options) -> DataFrame:
     Rows that share doc_id, source and size are repeated alike, as often as the
     mix takes the one that it takes most.
     """
-    own = ["_id", "_source", "_size"]
-    times = mix(docs, **options).where("times > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "times")
-    times = times.groupBy(*own).agg(F.max("times").alias("_times"))
-    keyed = docs.withColumn("_words", n_words(F.col("text")))
-    on = keyed["doc_id"].eqNullSafe(times["_id"]) & keyed["source"].eqNullSafe(times["_source"]) & (keyed["_words"] == times["_size"])
-    return keyed.join(times, on).withColumn("_n", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
+    times = mix(docs, **options).where("times > 0").groupBy(F.col("doc_id").alias("id"), F.col("source").alias("s"), F.col("size").alias("n")).agg(F.max("times").alias("times"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), n_words(F.col("text")).alias("words"))
+    on = F.col("row.doc_id").eqNullSafe(F.col("id")) & F.col("row.source").eqNullSafe(F.col("s")) & (F.col("words") == F.col("n"))
+    return keyed.join(times, on).select("row", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
