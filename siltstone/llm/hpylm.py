@@ -41,7 +41,7 @@ SHORT = 3
 SHORT_BUCKETS = 256
 CLASSES = 6
 #: Words and ends in a block file at most, besides a single longer document.
-BLOCK_TOKENS = 6_000_000
+BLOCK_TOKENS = 2_200_000
 #: The low byte of a pair's key is the context; the rest is the word's hash.
 LOW = np.uint64(0xFF)
 END = np.uint64(0x5E17_0000_0000_0E00)
@@ -49,10 +49,11 @@ END = np.uint64(0x5E17_0000_0000_0E00)
 
 def hashed(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """For some texts at a time: index of the first, bounds of each, words' hashes, and whether each is short."""
-    for first, bounds, h, _, starts, ends in word_hashes([t.encode("utf-8", "surrogatepass").lower() for t in texts]):
-        h &= ~LOW
-        h[h == END] ^= np.uint64(1 << 63)
-        yield first, bounds, h, ends - starts <= SHORT
+    for at in range(0, len(texts), 256):
+        for first, bounds, h, _, starts, ends in word_hashes([t.encode("utf-8", "surrogatepass").lower() for t in texts[at : at + 256]]):
+            h &= ~LOW
+            h[h == END] ^= np.uint64(1 << 63)
+            yield at + first, bounds, h, ends - starts <= SHORT
 
 
 def short_buckets(h: np.ndarray) -> np.ndarray:
@@ -129,10 +130,15 @@ def write_blocks(docs: DataFrame, folder: str, of: np.ndarray, k: int) -> DataFr
 
         def written():
             block = part * 100_000 + nth
-            every, owner, out = np.concatenate(keys), np.concatenate(owners), np.array(held)
-            names, code = np.unique(every, return_inverse=True)
+            names, code = np.unique(np.concatenate(keys), return_inverse=True)
+            keys.clear()
+            owner, out = np.concatenate(owners), np.array(held)
+            owners.clear()
             n = np.bincount(code[~out[owner]], minlength=len(names))
-            both, times = np.unique(owner << 32 | code, return_counts=True)
+            code |= owner << 32
+            del owner
+            both, times = np.unique(code, return_counts=True)
+            del code
             cells = pa.table({"doc": pa.array((both >> 32).astype(np.int32)), "code": pa.array((both & 0xFFFFFFFF).astype(np.int32)), "n": pa.array(times.astype(np.int32))})
             rows = pa.table({"doc_id": pa.array(ids, pa.int64()), "held_out": pa.array(out)})
             for kind, x in (("cells", cells), ("docs", rows)):
