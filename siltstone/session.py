@@ -10,6 +10,9 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
+#: Rows that Python workers get at once, where the session has Spark's default of 10,000: texts may be long, and the whole batch is in memory.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ROWS = 1000
 
 
 def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -26,8 +29,10 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g"
 
 
 def ship(spark: SparkSession) -> None:
-    """Makes this package importable on the executors, once per application: Spark's file server hands out a zip of its sources."""
+    """Makes this package importable on the executors, once per application: Spark's file server hands out a zip of its sources. Bounds the batches that Python workers get."""
     context = spark.sparkContext
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, ROWS)
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parent
