@@ -87,10 +87,11 @@ def read_lines(spark: SparkSession, path: str, schema: StructType | str | None =
 
 
 def read_any(spark: SparkSession, path: str) -> DataFrame:
-    """An array, an object or JSON lines: whole files that start with a bracket, or are one object, are read whole."""
-    head = spark.read.text(path, wholetext=True).select(F.trim(F.regexp_replace("value", "^﻿", "")).alias("v"))
-    whole = head.select((F.col("v").startswith("[") | F.try_parse_json("v").isNotNull()).alias("whole")).agg(F.coalesce(F.min("whole"), F.lit(False))).first()[0]
-    return spark.read.option("multiLine", "true" if whole else "false").json(path)
+    """An array, an object or JSON lines: lines, if the first that isn't blank is a whole object, else whole files."""
+    line = F.trim(F.regexp_replace("value", "^﻿", ""))
+    first = spark.read.text(path).select(line.alias("v")).where("v <> ''").limit(1)
+    whole = first.select((F.col("v").startswith("{") & F.col("v").endswith("}") & F.try_parse_json("v").isNotNull()).alias("lines")).first()
+    return spark.read.option("multiLine", "false" if whole and whole["lines"] else "true").json(path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
