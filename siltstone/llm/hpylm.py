@@ -230,10 +230,20 @@ def sweeps(counts: np.ndarray, totals: Totals, seed: int, burn: int = 2, keep: i
     return out, mean_tables
 
 
-def _batches_of_words(batches, n: int):
-    """(words, counts, which contexts are asked for) of each batch."""
+def _batches_of_words(batches, n: int, least: int = 20_000):
+    """(words, counts, which contexts are asked for), `least` words at a time."""
+    held: list[tuple] = []
+
+    def joined():
+        return tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
     for b in batches:
-        yield b["word"].to_numpy().view(np.uint64), np.stack([b[f"c{u}"].to_numpy() for u in range(n)], axis=1), b["asked"].to_numpy()
+        held.append((b["word"].to_numpy().view(np.uint64), np.stack([b[f"c{u}"].to_numpy() for u in range(n)], axis=1), b["asked"].to_numpy()))
+        if sum(len(x[0]) for x in held) >= least:
+            yield joined()
+            held = []
+    if held:
+        yield joined()
 
 
 def gibbs_totals(words: DataFrame, totals: Totals, n: int) -> Totals:

@@ -103,9 +103,12 @@ class Model:
         return np.where(empty, self.prior, p)
 
 
-def train(texts: list[str], y: np.ndarray, bits: int = BUCKET_BITS, dim: int = DIM, epochs: int = 8, rate: float = 0.5, seed: int = 42, weight: np.ndarray | None = None) -> Model:
-    """Stochastic gradient descent, one text a step, the rate falling to zero. Classes take turns, so both weigh alike."""
-    bags: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int32), np.zeros(0, np.float32))] * len(texts)
+Bags = list[tuple[np.ndarray, np.ndarray]]
+
+
+def bags_of(texts: list[str], bits: int = BUCKET_BITS) -> Bags:
+    """Each text's distinct rows, and what share of its features each is."""
+    bags: Bags = [(np.zeros(0, np.int32), np.zeros(0, np.float32))] * len(texts)
     for _, rows, owners in features(texts, bits):
         order = np.argsort(owners, kind="stable")
         rows, owners = rows[order], owners[order]
@@ -113,14 +116,18 @@ def train(texts: list[str], y: np.ndarray, bits: int = BUCKET_BITS, dim: int = D
         for own, i in zip(np.split(rows, cut), owners[np.concatenate(([0], cut))] if len(owners) else [], strict=False):
             name, n = np.unique(own, return_counts=True)
             bags[i] = name, (n / len(own)).astype(np.float32)
+    return bags
+
+
+def train(bags: Bags, y: np.ndarray, bits: int = BUCKET_BITS, dim: int = DIM, epochs: int = 8, rate: float = 0.5, seed: int = 42) -> Model:
+    """Stochastic gradient descent, one text a step, the rate falling to zero. Classes take turns, so both weigh alike."""
     draw = np.random.default_rng(seed)
     table_ = draw.uniform(-1 / dim, 1 / dim, (1 << bits, dim)).astype(np.float32)
     out, bias = np.zeros((2, dim), np.float32), np.zeros(2, np.float32)
     classes = [np.flatnonzero(y == k) for k in (0, 1)]
-    steps = epochs * 2 * max(map(len, classes))
-    done = 0
+    n = max(map(len, classes))
+    steps, done = epochs * 2 * n, 0
     for _ in range(epochs):
-        n = max(map(len, classes))
         turns = np.stack([np.concatenate([draw.permutation(c) for _ in range(-(-n // len(c)))])[:n] for c in classes], axis=1).ravel()
         for i in turns.tolist():
             step = rate * (1 - done / steps)
@@ -128,8 +135,7 @@ def train(texts: list[str], y: np.ndarray, bits: int = BUCKET_BITS, dim: int = D
             name, share = bags[i]
             if not len(name):
                 continue
-            own = table_[name]
-            hidden = share @ own
+            hidden = share @ table_[name]
             z = out @ hidden + bias
             z = np.exp(z - z.max())
             g = z / z.sum()
@@ -141,20 +147,22 @@ def train(texts: list[str], y: np.ndarray, bits: int = BUCKET_BITS, dim: int = D
     return Model(table_ @ (out[1] - out[0]), float(bias[1] - bias[0]))
 
 
-def fit(texts: list[str], y: np.ndarray, weight: np.ndarray, folds: int = 3, **options) -> Model:
+def fit(texts: list[str], y: np.ndarray, weight: np.ndarray, folds: int = 3, bits: int = BUCKET_BITS, **options) -> Model:
     """A trained model whose scores are calibrated by a logistic fit to what models of the other folds say. Without texts of both classes every score is nearly the label that there is, or the middle."""
     if not len(texts) or y.min() == y.max():
         share = float(y[0]) * 0.998 + 0.001 if len(y) else 0.5
         return Model(np.zeros(2, np.float32), slope=0.0, intercept=float(np.log(share / (1 - share))), prior=share)
-    model = train(texts, y, **options)
+    bags = bags_of(texts, bits)
+    model = train(bags, y, bits, **options)
     fold = np.empty(len(y), np.int64)
     for k in (0, 1):
         fold[y == k] = np.arange((y == k).sum()) % folds
     odds = np.zeros(len(y))
     for f in range(folds):
-        other = np.flatnonzero(fold != f)
-        if len(set(y[other].tolist())) == 2 and (fold == f).any():
-            odds[fold == f] = train([texts[i] for i in other], y[other], **options).odds([texts[i] for i in np.flatnonzero(fold == f)])
+        learnt = np.flatnonzero(fold != f)
+        if len(set(y[learnt].tolist())) == 2 and (fold == f).any():
+            other = train([bags[i] for i in learnt], y[learnt], bits, **options)
+            odds[fold == f] = [float(share @ other.values[name]) + other.bias for name, share in (bags[i] for i in np.flatnonzero(fold == f))]
     model.slope, model.intercept = logistic(odds, y.astype(float), weight)
     model.prior = float(weight[y == 1].sum() / weight.sum())
     return model

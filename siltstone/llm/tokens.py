@@ -33,7 +33,7 @@ class Encoder:
     whole, as those are looked for before lower-casing.
     """
 
-    def __init__(self, path: str, capacity: int = 700_000):
+    def __init__(self, path: str, capacity: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to other tasks
         from tokenizers import Tokenizer
 

@@ -128,7 +128,7 @@ def test_quality(poor):
 def test_scores_are_the_trained_network():
     """The one number a row that a model keeps gives what averaging vectors and the softmax give."""
     texts, y = ["good words here", "BAD BAD BAD!!", "more good words", "BAD!! WORSE!!"], np.array([1, 0, 1, 0])
-    model = quality.train(texts, y, bits=10, epochs=20)
+    model = quality.train(quality.bags_of(texts, 10), y, bits=10, epochs=20)
     odds = model.odds(texts)
     assert (odds[y == 1] > odds[y == 0].max()).all()
     twice = model.odds([t + " " + t for t in texts[:1]])
