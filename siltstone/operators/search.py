@@ -120,16 +120,12 @@ def retrieve_v1(vectors: DataFrame, queries: DataFrame, corpus: DataFrame | None
     return docs, found
 
 
-def near_pairs(vectors: DataFrame, threshold: float = 0.9, by: str | None = None, id: str = "vec_id", vec: str = "embedding") -> DataFrame:
-    """(a, b, similarity) of vectors of a group with cosine at least the threshold, a before b.
-
-    A group is a query's pool or a bounded bucket; without one, all vectors
-    are compared, which is for small tables only.
-    """
-    left = vectors.select(*([by] if by else []), F.col(id).alias("a"), F.col(vec).alias("va"))
-    right = vectors.select(*([by] if by else []), F.col(id).alias("b"), F.col(vec).alias("vb"))
-    pairs = left.join(right, by) if by else left.crossJoin(F.broadcast(right))
-    return pairs.where("a < b").withColumn("similarity", V.dot("va", "vb")).where(F.col("similarity") >= threshold).drop("va", "vb")
+def near_pairs(vectors: DataFrame, threshold: float = 0.9, by: str = "query_id", id: str = "vec_id", vec: str = "embedding") -> DataFrame:
+    """(by, a, b, similarity) of vectors of a group with cosine at least the threshold, a before b. A group is a query's pool, of bounded size."""
+    left = vectors.select(by, F.col(id).alias("a"), F.col(vec).alias("va"))
+    right = vectors.select(by, F.col(id).alias("b"), F.col(vec).alias("vb"))
+    pairs = left.join(right, by).where("a < b")
+    return pairs.withColumn("similarity", V.dot("va", "vb")).where(F.col("similarity") >= threshold).drop("va", "vb")
 
 
 def adjacent_similarity(vectors: DataFrame, by: str, order: str, vec: str = "embedding") -> DataFrame:
@@ -148,7 +144,7 @@ def graph_candidates(mentions: DataFrame, edges: DataFrame, asked: DataFrame, ch
 
 
 def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2, b: float = 0.75, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(query_id, rank, doc_id, score): lexical search. Terms are words between white space, lower-cased. Only postings of the queries' terms are shuffled."""
+    """(query_id, rank, doc_id, score): lexical search. Terms are words between white space, lower-cased. Only postings of the queries' terms are shuffled. Scores are rounded to 9 digits, so that copies tie and go by id."""
     asked = queries.select("query_id", F.explode(F.array_distinct(T.split_words(F.lower("query")))).alias("term"))
     sized = docs.select(id, T.split_words(F.lower(text)).alias("words")).withColumn("len", F.size("words"))
     totals = sized.agg(F.count(F.lit(1)).alias("n"), F.avg("len").alias("mean")).first()
@@ -157,7 +153,7 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2, b: f
     df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.lit(totals["n"]) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     gain = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / F.lit(totals["mean"] or 1.0)))
-    scored = asked.join(postings.join(df, "term"), "term").groupBy("query_id", id).agg(F.sum(gain).alias("score"))
+    scored = asked.join(postings.join(df, "term"), "term").groupBy("query_id", id).agg(F.round(F.sum(gain), 9).alias("score"))
     return best(scored, k, tie=id).select("query_id", "rank", id, "score")
 
 

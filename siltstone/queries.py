@@ -317,12 +317,12 @@ DOT = "round(list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6)"
 def _ranked_sql(k: int, where: str = "true", v: str = "v.embedding", q: str = "q.embedding") -> str:
     return f"""SELECT q.vec_id AS query_id, v.vec_id, v.label, list_dot_product({q}::DOUBLE[], {v}::DOUBLE[]) AS score,
     row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product({q}::DOUBLE[], {v}::DOUBLE[]) DESC, v.vec_id) AS rank
-    FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id < 20 AND {where} QUALIFY rank <= {k}"""
+    FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0 AND {where} QUALIFY rank <= {k}"""
 
 
 def _vectors(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     v = table(spark, d, "embeddings")
-    return v, v.where("vec_id < 20").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qvec"))
+    return v, v.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qvec"))
 
 
 def _corpus(v: DataFrame) -> DataFrame:
@@ -467,9 +467,11 @@ def near_dup_greedy(spark, d):
     return _rounded(fusion.drop_near(fusion.rerank(found, F.col("recall_score")), 0.35).drop("embedding"), "score", "recall_score")
 
 
-@query("SELECT a.label, a.vec_id AS a, b.vec_id AS b, round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.35")
+@query(f"WITH pool AS (SELECT p.query_id, p.vec_id, e.embedding::DOUBLE[] AS v FROM ({_ranked_sql(50)}) p JOIN embeddings e USING (vec_id)) SELECT a.query_id, a.vec_id AS a, b.vec_id AS b, round(list_dot_product(a.v, b.v), 6) AS similarity FROM pool a JOIN pool b ON a.query_id = b.query_id AND a.vec_id < b.vec_id WHERE list_dot_product(a.v, b.v) >= 0.35")
 def near_dup_pairs(spark, d):
-    return _rounded(search.near_pairs(table(spark, d, "embeddings"), 0.35, "label"), "similarity")
+    """Pairs within each query's pool of fifty."""
+    v, q = _vectors(spark, d)
+    return _rounded(search.near_pairs(search.exact_topk(v, q, 50).join(v.select("vec_id", "embedding"), "vec_id"), 0.35), "similarity")
 
 
 @query("SELECT vec_id, label, round(list_dot_product(embedding::DOUBLE[], lead(embedding) OVER (PARTITION BY label ORDER BY vec_id)::DOUBLE[]), 6) AS similarity FROM embeddings")
@@ -509,111 +511,109 @@ def late_pooling(spark, d):
 
 # -- scores --
 
-HELD = "SELECT b.item_id AS query_id, d.doc_id, d.text, row_number() OVER (PARTITION BY b.item_id ORDER BY d.doc_id) AS rank FROM benchmark b JOIN documents d ON contains(d.text, left(b.text, 25))"
-TRUTH = "SELECT item_id AS query_id, text AS verbatim, CASE WHEN item_id % 2 = 0 THEN 2.0 ELSE 1.0 END AS gain FROM benchmark"
+BM25 = """WITH asked AS (SELECT item_id AS query_id, unnest(list_distinct(list_filter(string_split(trim(regexp_replace(lower(text), '[\\s\\p{Z}]+', ' ', 'g')), ' '), lambda x: x <> ''))) AS term FROM benchmark),
+w AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(lower(text), '[\\s\\p{Z}]+', ' ', 'g')), ' '), lambda x: x <> '') AS words FROM documents),
+t AS (SELECT count(*) AS n, avg(len(words)) AS mean FROM w),
+p AS (SELECT doc_id, len, term, count(*) AS tf FROM (SELECT doc_id, len(words) AS len, unnest(words) AS term FROM w) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY 1),
+s AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))), 9) AS score FROM asked JOIN p USING (term) JOIN f USING (term), t GROUP BY ALL),
+pool AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s QUALIFY rank <= 50),
+held AS (SELECT pool.*, d.text, d.source FROM pool JOIN documents d ON d.doc_id = pool.doc_id),
+truth AS (SELECT item_id AS query_id, text AS verbatim, CASE WHEN item_id % 2 = 0 THEN 2.0 ELSE 1.0 END AS gain FROM benchmark),
+relevant AS (SELECT DISTINCT h.query_id, h.doc_id, h.source FROM held h JOIN truth t ON t.query_id = h.query_id AND contains(h.text, t.verbatim)),
+matched AS (SELECT t.query_id, t.verbatim, t.gain, min(h.rank) AS pos FROM held h JOIN truth t ON t.query_id = h.query_id AND contains(h.text, t.verbatim) WHERE h.rank <= 10 GROUP BY ALL),
+ndcg AS (SELECT t.query_id, coalesce(dcg / idcg, 0.0) AS ndcg FROM (SELECT query_id, sum(gain) AS idcg FROM truth GROUP BY 1) t LEFT JOIN (SELECT query_id, sum(gain / log2(pos + 1.0)) AS dcg FROM (SELECT query_id, pos, max(gain) AS gain FROM matched GROUP BY ALL) GROUP BY 1) g USING (query_id)),
+f1 AS (SELECT query_id, p, r, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f1 FROM (SELECT t.query_id, coalesce(hits, 0) / 3.0::DOUBLE AS p, CASE WHEN n > 0 THEN coalesce(hits, 0) / least(n, 3)::DOUBLE ELSE 0.0 END AS r FROM truth t
+  LEFT JOIN (SELECT query_id, count(DISTINCT source) AS n FROM relevant GROUP BY 1) USING (query_id)
+  LEFT JOIN (SELECT h.query_id, count(DISTINCT h.source) AS hits FROM held h JOIN relevant r ON r.query_id = h.query_id AND r.source = h.source WHERE h.rank <= 3 GROUP BY 1) USING (query_id)))
+"""
+
+
+@query(f"{BM25} SELECT query_id, rank, doc_id, round(score, 6) AS score FROM pool WHERE rank <= 10")
+def lexical_search(spark, d):
+    """Every benchmark passage, whole, as a question to all documents."""
+    return _rounded(_pool50(spark, d).where("rank <= 10"), "score")
+
+
+def _pool50(spark: SparkSession, d: str) -> DataFrame:
+    asked = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    return search.bm25(table(spark, d, "documents"), asked, 50)
 
 
 def _results(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(fragments, passages, queries): documents that hold the start of a benchmark passage, by doc_id; the passages are few and fixed."""
+    """(the pool of fifty of each passage with texts and sources, passages, queries)."""
     b = table(spark, d, "benchmark")
-    asked = b.select(F.col("item_id").alias("query_id"), F.substring("text", 1, 25).alias("start"))
-    found = table(spark, d, "documents").join(F.broadcast(asked), F.contains("text", "start")).select("query_id", "doc_id", "text")
-    found = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("doc_id")))
+    found = _pool50(spark, d).join(table(spark, d, "documents").select("doc_id", "text", "source"), "doc_id")
     label = F.when(F.col("item_id") % 2 == 0, "alta").otherwise("media")
     passages = b.select(F.col("item_id").alias("query_id"), F.col("text").alias("verbatim"), T.relevance_gain(label).alias("gain"))
     return found, passages, b.select(F.col("item_id").alias("query_id"), (F.col("item_id") % 3 + 1).alias("fenomeno"), label.alias("tipo"))
 
 
-MATCHED = f"SELECT t.query_id, t.verbatim, t.gain, min(h.rank) AS pos FROM ({HELD}) h JOIN ({TRUTH}) t ON t.query_id = h.query_id AND contains(h.text, t.verbatim) WHERE h.rank <= 10 GROUP BY ALL"
-NDCG = f"""SELECT t.query_id, coalesce(dcg / idcg, 0.0) AS ndcg FROM (SELECT query_id, sum(gain) AS idcg FROM ({TRUTH}) GROUP BY 1) t
-LEFT JOIN (SELECT query_id, sum(gain / log2(pos + 1.0)) AS dcg FROM (SELECT query_id, pos, max(gain) AS gain FROM ({MATCHED}) GROUP BY ALL) GROUP BY 1) g USING (query_id)"""
+def _relevant(found: DataFrame, passages: DataFrame) -> DataFrame:
+    """Documents of a pool that hold the passage."""
+    return found.join(passages, "query_id").where(F.contains("text", "verbatim")).select("query_id", "doc_id", "source").distinct()
 
 
-@query(MATCHED)
+@query(f"{BM25} SELECT * FROM matched")
 def substring_matches(spark, d):
     found, passages, _ = _results(spark, d)
     return metrics.first_matches(found, passages)
 
 
-@query(f"SELECT query_id, round(ndcg, 6) AS ndcg FROM ({NDCG})")
+@query(f"{BM25} SELECT query_id, round(ndcg, 6) AS ndcg FROM ndcg")
 def ndcg_at_10(spark, d):
     return _rounded(metrics.ndcg(*_results(spark, d)), "ndcg")
 
 
-F1 = f"""SELECT query_id, p, r, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f1 FROM (SELECT b.item_id AS query_id, coalesce(hits, 0) / 3.0::DOUBLE AS p, CASE WHEN n > 0 THEN coalesce(hits, 0) / least(n, 3)::DOUBLE ELSE 0.0 END AS r FROM benchmark b
-LEFT JOIN (SELECT query_id, count(*) AS n FROM (SELECT DISTINCT b.item_id AS query_id, source FROM benchmark b JOIN documents d ON contains(d.text, b.text)) GROUP BY 1) t ON t.query_id = b.item_id
-LEFT JOIN (SELECT p.query_id, count(*) AS hits FROM (SELECT DISTINCT query_id, source FROM ({HELD}) h JOIN documents USING (doc_id) WHERE rank <= 3) p JOIN (SELECT DISTINCT b.item_id AS query_id, source FROM benchmark b JOIN documents d ON contains(d.text, b.text)) t ON p.query_id = t.query_id AND p.source = t.source GROUP BY 1) h ON h.query_id = b.item_id)"""
-
-
-def _sources(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    found, passages, _ = _results(spark, d)
-    docs = table(spark, d, "documents")
-    predicted = metrics.sources_of(found.select("query_id", "rank", "doc_id"), docs.select("doc_id", "source"))
-    held = docs.join(F.broadcast(passages), F.contains("text", "verbatim")).select("query_id", "source")
-    return predicted, held
-
-
-@query(f"SELECT query_id, round(p, 6) AS precision, round(r, 6) AS recall, round(f1, 6) AS f1 FROM ({F1})")
+@query(f"{BM25} SELECT query_id, round(p, 6) AS precision, round(r, 6) AS recall, round(f1, 6) AS f1 FROM f1")
 def f1_at_3(spark, d):
-    return _rounded(metrics.f1(*_sources(spark, d), _results(spark, d)[2]), "precision", "recall", "f1")
-
-
-SCORED = f"SELECT n.query_id, cast(n.query_id % 3 + 1 AS varchar) AS fenomeno, CASE WHEN n.query_id % 2 = 0 THEN 'alta' ELSE 'media' END AS tipo, ndcg, f1 FROM ({NDCG}) n JOIN ({F1}) f ON n.query_id = f.query_id"
+    found, passages, asked = _results(spark, d)
+    predicted = metrics.sources_of(found.select("query_id", "rank", "doc_id"), table(spark, d, "documents").select("doc_id", "source"))
+    return _rounded(metrics.f1(predicted, _relevant(found, passages), asked), "precision", "recall", "f1")
 
 
 @query(
-    f"""SELECT CASE WHEN grouping(fenomeno) = 0 THEN 'fenomeno' WHEN grouping(tipo) = 0 THEN 'tipo' ELSE 'total' END AS dimension, coalesce(fenomeno, tipo, 'total') AS value, count(*) AS queries, round(avg(ndcg), 6) AS ndcg, round(avg(f1), 6) AS f1 FROM ({SCORED}) GROUP BY GROUPING SETS ((), (fenomeno), (tipo))"""
+    f"""{BM25} SELECT CASE WHEN grouping(fenomeno) = 0 THEN 'fenomeno' WHEN grouping(tipo) = 0 THEN 'tipo' ELSE 'total' END AS dimension, coalesce(fenomeno, tipo, 'total') AS value, count(*) AS queries, round(avg(ndcg), 6) AS ndcg, round(avg(f1), 6) AS f1
+    FROM (SELECT query_id, cast(query_id % 3 + 1 AS varchar) AS fenomeno, CASE WHEN query_id % 2 = 0 THEN 'alta' ELSE 'media' END AS tipo, ndcg, f1 FROM ndcg JOIN f1 USING (query_id)) GROUP BY GROUPING SETS ((), (fenomeno), (tipo))"""
 )
 def metrics_by_group(spark, d):
     found, passages, asked = _results(spark, d)
-    predicted, held = _sources(spark, d)
-    per_query = evaluation.evaluate(found, predicted, passages, held, asked)
+    per_query = evaluation.evaluate(found, found, passages, _relevant(found, passages), asked)
     return _rounded(metrics.report(per_query, "fenomeno", "tipo"), "ndcg", "f1")
 
 
-@query("SELECT config, points, row_number() OVER (ORDER BY points DESC, ndcg DESC, config) AS rank FROM (SELECT *, 2 * count(*) OVER () - rank() OVER (ORDER BY ndcg DESC) - rank() OVER (ORDER BY f1 DESC) AS points FROM (SELECT s_nationkey AS config, round(avg(s_acctbal), 2) AS ndcg, count(*) AS f1 FROM supplier GROUP BY 1))")
-def borda(spark, d):
-    scores = table(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("config")).agg(F.round(F.avg("s_acctbal"), 2).alias("ndcg"), F.count(F.lit(1)).alias("f1"))
-    return metrics.borda(scores, ("ndcg", "f1"), "ndcg")
-
-
-@query(f"SELECT round(avg(coalesce(hit, 0)), 6) AS hit_rate FROM benchmark b LEFT JOIN (SELECT DISTINCT h.query_id, 1.0 AS hit FROM ({HELD}) h JOIN benchmark b ON b.item_id = h.query_id AND contains(h.text, b.text) WHERE h.rank <= 3) x ON x.query_id = b.item_id")
+@query(f"{BM25} SELECT round(avg(coalesce(hit, 0)), 6) AS hit_rate FROM truth LEFT JOIN (SELECT DISTINCT h.query_id, 1.0 AS hit FROM held h JOIN relevant r ON r.query_id = h.query_id AND r.doc_id = h.doc_id WHERE h.rank <= 3) USING (query_id)")
 def hit_rate_at_3(spark, d):
     found, passages, asked = _results(spark, d)
-    relevant = table(spark, d, "documents").join(F.broadcast(passages), F.contains("text", "verbatim")).select("query_id", "doc_id")
-    return _rounded(metrics.hit_rate(found, relevant, 3, "doc_id", asked), "hit_rate")
+    return _rounded(metrics.hit_rate(found, _relevant(found, passages), 3, "doc_id", asked), "hit_rate")
 
 
-@query(f"SELECT count(*) AS fragments, round(1 - count(DISTINCT text) / count(*), 6) AS duplicate_rate FROM ({HELD})")
+@query(f"{BM25} SELECT count(*) AS fragments, round(1 - count(DISTINCT text) / count(*), 6) AS duplicate_rate FROM held")
 def duplicate_results(spark, d):
     return _rounded(metrics.duplicate_rate(_results(spark, d)[0], "text"), "duplicate_rate")
 
 
-BM25 = """WITH asked AS (SELECT item_id AS query_id, unnest(list_distinct(list_slice(list_filter(string_split(trim(regexp_replace(lower(text), '[\\s\\p{Z}]+', ' ', 'g')), ' '), lambda x: x <> ''), 1, 5))) AS term FROM benchmark WHERE item_id < 10),
-w AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(lower(text), '[\\s\\p{Z}]+', ' ', 'g')), ' '), lambda x: x <> '') AS words FROM documents),
-t AS (SELECT count(*) AS n, avg(len(words)) AS mean FROM w),
-p AS (SELECT doc_id, len, term, count(*) AS tf FROM (SELECT doc_id, len(words) AS len, unnest(words) AS term FROM w) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
-f AS (SELECT term, count(*) AS df FROM p GROUP BY 1),
-s AS (SELECT query_id, doc_id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))) AS score FROM asked JOIN p USING (term) JOIN f USING (term), t GROUP BY ALL)"""
+@query(f"{BM25} SELECT count(*) AS fragments, round(avg(cast(NOT regexp_matches(rtrim(text), '[.!?。！？][\"''”’»)\\]]*$') AS integer)), 6) AS incomplete_rate FROM held")
+def incomplete_results(spark, d):
+    return _rounded(metrics.incomplete_rate(_results(spark, d)[0], "text"), "incomplete_rate")
 
 
-@query(f"{BM25} SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, doc_id, round(score, 6) AS score FROM s QUALIFY rank <= 10")
-def lexical_search(spark, d):
-    words = F.slice(T.split_words(F.lower("text")), 1, 5)
-    asked = table(spark, d, "benchmark").where("item_id < 10").select(F.col("item_id").alias("query_id"), F.array_join(words, " ").alias("query"))
-    return _rounded(search.bm25(table(spark, d, "documents"), asked), "score")
+@query("SELECT config, points, row_number() OVER (ORDER BY points DESC, ndcg DESC, config) AS rank FROM (SELECT *, 2 * count(*) OVER () - rank() OVER (ORDER BY ndcg DESC) - rank() OVER (ORDER BY f1 DESC) AS points FROM (SELECT s_nationkey AS config, round(avg(s_acctbal), 2) AS ndcg, count(*) AS f1 FROM supplier GROUP BY 1))")
+def borda(spark, d):
+    scores = table(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("config")).agg(F.round(F.avg("s_acctbal"), 2).alias("ndcg"), F.count(F.lit(1)).alias("f1"))
+    return metrics.borda(scores, ("ndcg", "f1"), "ndcg")
 
 
 # -- graph --
 
-CHUNKS = "SELECT doc_id AS row_no, cast(doc_id AS varchar) AS doc_id, doc_id || '-CH-0000' AS chunk_id, source AS fuente, doc_id % 3 + 1 AS fenomeno, lang AS idioma, left(text, 300) AS texto FROM documents"
+CHUNKS = "SELECT doc_id AS row_no, cast(doc_id AS varchar) AS doc_id, doc_id || '-CH-0000' AS chunk_id, source AS fuente, doc_id % 3 + 1 AS fenomeno, lang AS idioma, text AS texto FROM documents"
 ENTITIES = rf"SELECT row_no, i - 1 AS seq, doc_id, chunk_id, l[i] AS label, CASE WHEN contains(l[i], ' ') THEN 'organization' ELSE 'location' END AS kind FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM (SELECT *, regexp_extract_all(texto, '\p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)*') AS l FROM ({CHUNKS})))"
 NODE = "kind || ':' || lower(left(trim(regexp_replace(label, '[\\s\\p{Z}]+', ' ', 'g')), 500))"
 
 
 def _graph_chunks(spark: SparkSession, d: str) -> DataFrame:
     doc = F.col("doc_id").cast("string")
-    return table(spark, d, "documents").select(F.col("doc_id").alias("row_no"), doc.alias("doc_id"), F.concat(doc, F.lit("-CH-0000")).alias("chunk_id"), F.col("source").alias("fuente"), (F.col("doc_id") % 3 + 1).alias("fenomeno"), F.col("lang").alias("idioma"), F.substring("text", 1, 300).alias("texto"))
+    return table(spark, d, "documents").select(F.col("doc_id").alias("row_no"), doc.alias("doc_id"), F.concat(doc, F.lit("-CH-0000")).alias("chunk_id"), F.col("source").alias("fuente"), (F.col("doc_id") % 3 + 1).alias("fenomeno"), F.col("lang").alias("idioma"), F.col("text").alias("texto"))
 
 
 @query(
@@ -636,7 +636,7 @@ def kg_mentions(spark, d):
     return graph.mention_edges(graph.capitalised_entities(_graph_chunks(spark, d)))
 
 
-@query(f"SELECT {NODE} AS id, kind, arg_max(label, row_no * 1000 + seq) AS label FROM ({ENTITIES}) GROUP BY 1, 2")
+@query(f"SELECT {NODE} AS id, kind, arg_max(left(label, 500), row_no * 1000000 + seq) AS label FROM ({ENTITIES}) GROUP BY 1, 2")
 def kg_entities(spark, d):
     return graph.entity_vertices(graph.capitalised_entities(_graph_chunks(spark, d))).select("id", "kind", "label")
 
@@ -676,30 +676,30 @@ def kg_relations(spark, d):
     return graph.relation_edges(pairs, mentions)
 
 
-MENTIONS = f"SELECT {NODE} AS entity, chunk_id FROM ({ENTITIES})"
+MENTIONS = f"SELECT row_no, chunk_id, seq, {NODE} AS entity, lead({NODE}) OVER (PARTITION BY chunk_id ORDER BY seq) AS following FROM ({ENTITIES})"
 
 
 @query(
-    f"""WITH m AS ({MENTIONS}), asked AS (SELECT min(chunk_id) AS query_id, entity FROM m GROUP BY entity HAVING count(*) BETWEEN 2 AND 3), e AS (SELECT DISTINCT a.entity AS src, b.entity AS dst FROM m a JOIN m b ON a.chunk_id = b.chunk_id AND a.entity < b.entity JOIN asked ON asked.entity IN (a.entity, b.entity)),
+    f"""WITH m AS ({MENTIONS}), asked AS (SELECT DISTINCT row_no AS query_id, entity FROM m WHERE row_no % 50 = 0), e AS (SELECT DISTINCT entity AS src, following AS dst FROM m WHERE following IS NOT NULL),
     wanted AS (SELECT query_id, entity FROM asked UNION SELECT query_id, dst FROM asked JOIN e ON e.src = asked.entity UNION SELECT query_id, src FROM asked JOIN e ON e.dst = asked.entity)
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM (SELECT query_id, chunk_id, count(*)::DOUBLE AS score FROM wanted JOIN m USING (entity) GROUP BY ALL)"""
 )
 def graph_retrieval(spark, d):
-    """Entities with two or three mentions as questions; entities of one chunk are neighbours."""
-    m = graph.mention_edges(graph.capitalised_entities(_graph_chunks(spark, d))).select(F.col("dst").alias("entity"), "chunk_id")
-    asked = m.groupBy("entity").agg(F.min("chunk_id").alias("query_id"), F.count(F.lit(1)).alias("n")).where("n BETWEEN 2 AND 3").select("query_id", "entity")
-    near = m.join(asked.select("entity").distinct(), "entity").select("chunk_id", F.col("entity").alias("src"))
-    edges = near.join(m, "chunk_id").where("src <> entity").select("src", F.col("entity").alias("dst")).distinct()
-    return search.graph_candidates(m, edges, asked)
+    """The entities of every document whose id is divisible by 50 as a question; entities that follow each other are neighbours."""
+    kind = F.replace(F.lower("kind"), F.lit(" "), F.lit("_"))
+    m = graph.capitalised_entities(_graph_chunks(spark, d)).select("row_no", "chunk_id", "seq", T.node_key(kind, "label").alias("entity"))
+    edges = m.withColumn("dst", F.lead("entity").over(Window.partitionBy("chunk_id").orderBy("seq"))).where("dst IS NOT NULL").select(F.col("entity").alias("src"), "dst")
+    asked = m.where("row_no % 50 = 0").select(F.col("row_no").alias("query_id"), "entity").distinct()
+    return search.graph_candidates(m.select("entity", "chunk_id"), edges, asked)
 
 
 # -- manifests and checks --
 
 
-@query("SELECT doc_id, lang, 1 AS version FROM documents WHERE doc_id % 5 <> 0 UNION ALL SELECT doc_id, upper(lang), 2 FROM documents WHERE doc_id % 5 = 0")
+@query("SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN lang ELSE upper(lang) END AS lang, CASE WHEN l.doc_id IS NULL THEN 1 ELSE 2 END AS version FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id")
 def manifest_upsert(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "lang")
-    new = docs.where("doc_id % 5 = 0").select("doc_id", F.upper("lang").alias("lang"), F.lit(2).alias("version"))
+    new = docs.join(table(spark, d, "labels").select("doc_id"), "doc_id").select("doc_id", F.upper("lang").alias("lang"), F.lit(2).alias("version"))
     return dedupe.last_wins(docs.withColumn("version", F.lit(1)), new, "doc_id")
 
 
@@ -714,11 +714,11 @@ def manifest_join(spark, d):
 
 
 @query(
-    """SELECT doc_id, chunk_id, fuente_corpus, orden_fuente, orden_doc, orden_chunk FROM (SELECT cast(doc_id AS varchar) AS doc_id, doc_id || '-CH-0000' AS chunk_id, CASE doc_id % 3 WHEN 0 THEN 'json' WHEN 1 THEN 'otros' ELSE 'pdf' END AS fuente_corpus, cast(doc_id % 3 AS integer) AS orden_fuente, doc_id AS orden_doc, 0 AS orden_chunk FROM documents)"""
+    """SELECT doc_id, chunk_id, fuente_corpus, orden_fuente, orden_doc, orden_chunk FROM (SELECT cast(doc_id AS varchar) AS doc_id, doc_id || '-CH-0000' AS chunk_id, CASE lang WHEN 'en' THEN 'json' WHEN 'es' THEN 'pdf' ELSE 'otros' END AS fuente_corpus, CASE lang WHEN 'en' THEN 0 WHEN 'es' THEN 2 ELSE 1 END AS orden_fuente, doc_id AS orden_doc, 0 AS orden_chunk FROM documents)"""
 )
 def corpus_union(spark, d):
-    chunks = _graph_chunks(spark, d).select("row_no", "doc_id", "chunk_id")
-    parts = {name: chunks.where(F.col("row_no") % 3 == n) for n, name in enumerate(("json", "otros", "pdf"))}
+    chunks = _graph_chunks(spark, d).select("doc_id", "chunk_id", F.coalesce("idioma", F.lit("")).alias("idioma"))
+    parts = {"json": chunks.where("idioma = 'en'"), "otros": chunks.where("idioma NOT IN ('en', 'es')"), "pdf": chunks.where("idioma = 'es'")}
     return dedupe.union_corpora(**parts).select("doc_id", "chunk_id", "fuente_corpus", "orden_fuente", "orden_doc", "orden_chunk")
 
 
@@ -744,10 +744,11 @@ def state_counts(spark, d):
 
 
 @query(
-    f"SELECT chunk_id AS key, unnest(['falta formato', 'falta num_tokens', 'falta posicion']) AS problem FROM ({CHUNKS}) UNION ALL SELECT chunk_id, 'falta fuente' FROM ({CHUNKS}) WHERE row_no % 7 = 0"
+    f"SELECT chunk_id AS key, unnest(['falta formato', 'falta num_tokens', 'falta posicion']) AS problem FROM ({CHUNKS}) UNION ALL SELECT chunk_id, 'falta fuente' FROM ({CHUNKS}) WHERE row_no NOT IN (SELECT doc_id FROM labels)"
 )
 def contract_violations(spark, d):
-    chunks = _graph_chunks(spark, d).withColumn("fuente", F.when(F.col("row_no") % 7 != 0, F.col("fuente")))
+    labelled = table(spark, d, "labels").select(F.col("doc_id").alias("row_no"), F.lit(True).alias("known"))
+    chunks = _graph_chunks(spark, d).join(labelled, "row_no", "left").withColumn("fuente", F.when(F.col("known"), F.col("fuente")))
     return validate.chunk_problems(chunks)
 
 
