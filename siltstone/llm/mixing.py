@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.common import WORD, stash, table
 
-#: Slices of the seeded order that a source's running total goes through first.
-SLICES = 4096
+#: Leading bits of a document's place in the seeded order: a source's running total goes over 2**BITS slices first.
+BITS = 12
 
 
 def n_words(text):
@@ -45,72 +45,99 @@ def water_fill(sizes: DataFrame, max_epochs: float = 3.0, weights: tuple[float,
     return found.withColumn("target", F.least(F.col("_cap"), F.coalesce(level * F.col("_w"), F.col("_cap")))).drop("_w", "_cap", "_level", "_open")
 
 
-def mix(docs: DataFrame, max_epochs: float = 3.0, weights: tuple[float, ...] = (1.0, 2.0, 3.0), seed: int = 42, slices: int = SLICES) -> DataFrame:
-    """One row per document: doc_id, source, size (words), source_size, target, times (whole repetitions), taken (times * size).
+def place(seed: int):
+    """A document's place in the seeded order, 0 to 2**63 - 1, by its doc_id and text."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 1)
 
-    Null texts and texts without words have size 0 and are taken zero times. A
-    null source is a source. Repeated rows (the same doc_id, text and source)
-    fall together in the seeded order and each counts. An empty table gives an
-    empty result. Other columns are not read.
-
-    The extra repetition goes to documents in the order of a seeded hash, as
-    long as the middle of a document lies below what is left, so a source ends
-    within half a document of its target; one document is then added or left
-    out, the one that closes most of the gap. Running totals go over a table of
-    at most `slices` rows a source first and then only over the documents of
-    the one slice that the end falls into, so a source that holds most rows is
-    summed by many tasks.
-    """
-    order = F.xxhash64(F.lit(seed), "doc_id")
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size")).withColumns({"_order": order, "_slice": F.pmod(F.shiftrightunsigned(order, 40), F.lit(slices)).cast("int")})
-    sized = stash(sized.withColumn("_row", F.monotonically_increasing_id()), "sized")
-    by_slice = stash(sized.groupBy("source", "_slice").agg(F.sum("size").alias("_sum")), "slices")
-    targets = water_fill(by_slice.groupBy("source").agg(F.sum("_sum").alias("source_size")), max_epochs, weights)
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
-    targets = targets.withColumn("_whole", whole).withColumn("_rest", F.col("target") - F.col("_whole") * F.col("source_size"))
-    running = Window.partitionBy("source").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    plan = by_slice.withColumn("_before", F.coalesce(F.sum("_sum").over(running), F.lit(0)))
-    same = plan["source"].eqNullSafe(targets["source"])
-    few = _few(targets)
-    plan = plan.join(F.broadcast(targets) if few else targets, same).select(plan["source"], "_slice", "source_size", "target", "_whole", "_rest", "_before", "_sum")
-    cut = (F.col("_before") < F.col("_rest")) & (F.col("_before") + F.col("_sum") > F.col("_rest"))
-    plan = stash(plan.withColumn("_cut", cut), "plan")
-    key = [F.coalesce(F.col("source"), F.lit("")).alias("_name"), F.col("source").isNull().alias("_none")]
-    left = sized.select("*", *key)
-    right = plan.select(*key, F.col("_slice"), "source_size", "target", "_whole", "_rest", "_before", "_cut")
-    dealt = left.join(right, ["_name", "_none", "_slice"])
-    inside = Window.partitionBy("_name", "_none", "_slice").orderBy("_order", "doc_id", "size", "_row").rowsBetween(Window.unboundedPreceding, -1)
-    ends = dealt.where("_cut").withColumn("_at", F.col("_before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    ends = ends.withColumn("_extra", (F.col("_at") + F.col("size") / 2 < F.col("_rest")).cast("int")).drop("_at")
-    rest = dealt.where("NOT _cut").withColumn("_extra", (F.col("_before") < F.col("_rest")).cast("int"))
-    out = stash(rest.unionByName(ends).withColumn("_extra", F.when(F.col("size") > 0, F.col("_extra")).otherwise(0)), "taken")
-    gaps = out.groupBy("_name", "_none").agg((F.first("_rest") - F.sum(F.col("_extra") * F.col("size"))).alias("_gap"))
-    change = F.when(F.col("_gap") > 0, F.col("size")).otherwise(-F.col("size"))
-    may = (F.col("size") > 0) & ((F.col("_gap") > 0) == (F.col("_extra") == 0)) & (F.abs(F.col("_gap") - change) < F.abs("_gap"))
-    each = out.join(F.broadcast(gaps) if few else gaps, ["_name", "_none"]).where(may)
-    swap = each.groupBy("_name", "_none").agg(F.min(F.struct(F.abs(F.col("_gap") - change).alias("left"), "_order", "_row")).alias("_best"))
-    swap = swap.select(F.col("_best._row").alias("_row"), F.lit(1).alias("_swap"))
-    out = out.join(F.broadcast(swap) if few else swap, "_row", "left")
-    extra = F.when(F.col("_swap").isNull(), F.col("_extra")).otherwise(1 - F.col("_extra"))
-    out = out.withColumn("times", F.when(F.col("size") > 0, F.col("_whole") + extra).otherwise(0).cast("int"))
-    return out.select("doc_id", "source", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))
-
-
-def _few(targets: DataFrame, most: int = 20_000) -> bool:
+
+def _few(sources: DataFrame, most: int = 20_000) -> bool:
     """Whether a table of a row per source is small enough to broadcast; counts at most one row over the bound."""
-    return targets.select("source").limit(most + 1).count() <= most
+    return sources.limit(most + 1).count() <= most
+
+
+def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """rows and what the plan says of their source, as the struct plan."""
+    own = plan.select(F.coalesce("source", F.lit("")).alias("_name"), F.col("source").isNull().alias("_none"), F.struct(*[c for c in plan.columns if c != "source"]).alias("plan"))
+    own = F.broadcast(own) if _few(plan) else own
+    keyed = rows.withColumns({"_name": F.coalesce("source", F.lit("")), "_none": F.col("source").isNull()})
+    return keyed.join(own, ["_name", "_none"]).drop("_name", "_none")
 
 
-def repeat_docs(docs: DataFrame, **options) -> DataFrame:
-    """docs with each row repeated as often as the mix takes it. All columns stay; documents of no words go.
+def plan_of(sized: DataFrame, max_epochs: float, weights: tuple[float, ...], bits: int = BITS) -> DataFrame:
+    """One row per source: source, source_size, target, whole, cutoff, swap.
 
-    Rows that share doc_id, source and size are repeated alike, as often as the
-    mix takes the one that it takes most.
+    A document is taken `whole` times, and once more if its place is below
+    cutoff, or, at the place swap, if it isn't. Running totals go over a table
+    of at most 2**bits rows a source and then over the documents of the one
+    slice that the end falls into, so a source that holds most rows is summed
+    by many tasks, and ranks a 2**bits-th of it in one.
     """
-    times = mix(docs, **options).where("times > 0").groupBy(F.col("doc_id").alias("id"), F.col("source").alias("s"), F.col("size").alias("n")).agg(F.max("times").alias("times"))
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), n_words(F.col("text")).alias("words"))
-    on = F.col("row.doc_id").eqNullSafe(F.col("id")) & F.col("row.source").eqNullSafe(F.col("s")) & (F.col("words") == F.col("n"))
-    return keyed.join(times, on).select("row", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
+    width = 63 - bits
+    by_slice = stash(sized.groupBy("source", F.shiftright("place", width).alias("slice")).agg(F.sum("size").alias("n")), "slices")
+    targets = water_fill(by_slice.groupBy("source").agg(F.sum("n").alias("source_size")), max_epochs, weights)
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
+    targets = targets.withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
+    targets = stash(targets, "targets")
+    running = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    cut = by_slice.withColumn("before", F.coalesce(F.sum("n").over(running), F.lit(0)))
+    cut = _with_plan(cut, targets).where((F.col("before") < F.col("plan.rest")) & (F.col("before") + F.col("n") >= F.col("plan.rest")))
+    cut = stash(cut.select("source", F.col("slice").alias("cut"), "before", F.col("plan.rest").alias("rest")), "cut")
+
+    inside = _with_plan(sized.select("source", "place", "size"), cut).where(F.shiftright("place", width) == F.col("plan.cut"))
+    upto = Window.partitionBy("source").orderBy("place", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = inside.withColumn("at", F.col("plan.before") + F.coalesce(F.sum("size").over(upto), F.lit(0)))
+    taken = F.col("at") + F.col("size") / 2 < F.col("plan.rest")
+    ends = inside.groupBy("source").agg(F.min(F.when(~taken, F.col("place"))).alias("first_out"), F.max(F.col("plan.cut")).alias("cut"))
+    cutoff = F.coalesce("first_out", F.when(F.col("cut") + 1 < 1 << bits, F.shiftleft(F.col("cut") + 1, width)).otherwise(F.lit((1 << 63) - 1)))
+    ends = stash(ends.select("source", cutoff.alias("cutoff")), "ends")
+    targets = _with_plan(targets, ends.unionByName(targets.join(ends.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left_anti").select("source", F.lit(0).cast("long").alias("cutoff"))))
+    targets = stash(targets.select("source", "source_size", "target", "whole", "rest", F.col("plan.cutoff").alias("cutoff")), "planned")
+
+    below = F.col("place") < F.col("plan.cutoff")
+    sums = _with_plan(sized.select("source", "place", "size"), targets).groupBy("source").agg((F.first("plan.rest") - F.sum(F.when(below, F.col("size")).otherwise(0))).alias("gap"), F.first("plan.cutoff").alias("cutoff"))
+    each = _with_plan(sized.select("source", "place", "size"), stash(sums, "gaps"))
+    change = F.when(F.col("plan.gap") > 0, F.col("size")).otherwise(-F.col("size"))
+    left = F.abs(F.col("plan.gap") - change)
+    may = (F.col("size") > 0) & ((F.col("plan.gap") > 0) != below) & (left < F.abs("plan.gap"))
+    swap = each.where(may).groupBy("source").agg(F.min(F.struct(left.alias("left"), "place")).getField("place").alias("swap"))
+    swap = swap.withColumnRenamed("source", "s")
+    return stash(targets.join(swap, F.col("source").eqNullSafe(F.col("s")), "left").select("source", "source_size", "target", "whole", "cutoff", "swap"), "plan")
+
+
+def times():
+    """How often a document is taken by the plan of its source, its place and size."""
+    extra = (F.col("place") < F.col("plan.cutoff")) != F.coalesce(F.col("place") == F.col("plan.swap"), F.lit(False))
+    return F.when(F.col("size") > 0, F.col("plan.whole") + extra.cast("int")).otherwise(0).cast("int")
+
+
+def sizes(docs: DataFrame, seed: int) -> DataFrame:
+    return docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), place(seed).alias("place"))
+
+
+def mix(docs: DataFrame, max_epochs: float = 3.0, weights: tuple[float, ...] = (1.0, 2.0, 3.0), seed: int = 42) -> DataFrame:
+    """One row per document: doc_id, source, size (words), source_size, target, times (whole repetitions), taken (times * size).
+
+    Null texts and texts without words have size 0 and are taken zero times. A
+    null source is a source. Repeated rows (the same doc_id and text) have the
+    same place and are taken alike; each counts. An empty table gives an empty
+    result. Other columns are not read.
+
+    The extra repetition goes to documents in a seeded order, as long as the
+    middle of a document lies below what is left, so a source ends within half
+    a document of its target; one document is then added or left out, the one
+    that closes most of the gap.
+    """
+    sized = stash(sizes(docs, seed), "sized")
+    out = _with_plan(sized, plan_of(sized, max_epochs, weights)).withColumn("times", times())
+    return out.select("doc_id", "source", "size", F.col("plan.source_size").alias("source_size"), F.col("plan.target").alias("target"), "times", (F.col("times") * F.col("size")).alias("taken"))
+
+
+def repeat_docs(docs: DataFrame, max_epochs: float = 3.0, weights: tuple[float, ...] = (1.0, 2.0, 3.0), seed: int = 42) -> DataFrame:
+    """docs with each row repeated as often as the mix takes it. All columns stay; documents of no words go. Texts are not shuffled: each row is decided by the plan of its source."""
+    plan = plan_of(stash(sizes(docs, seed), "sized"), max_epochs, weights)
+    rows = docs.select("source", n_words(F.col("text")).alias("size"), place(seed).alias("place"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    taken = _with_plan(rows, plan).select("row", times().alias("times")).where("times > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
