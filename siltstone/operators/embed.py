@@ -82,6 +82,68 @@ def sentence_windows(tokens: list[tuple[int, int]], text: str, capacity: int, ba
     return windows or [(0, len(tokens))]
 
 
+#: Makes a token encoder on a worker: text -> token spans in characters, and (text, spans) of a window -> a vector for each token.
+TokenEncoderFactory = Callable[[], tuple[Callable[[str], list[tuple[int, int]]], Callable[[str, list[tuple[int, int]]], np.ndarray]]]
+
+
+def hashing_token_encoder(dims: int = 16, seed: int = 7) -> TokenEncoderFactory:
+    """A token encoder without a model: words between white space; a token's vector is its word's direction and a tenth of the window's mean."""
+
+    def make():
+        encode_word = hashing_encoder(dims, seed)()
+
+        def spans(text: str) -> list[tuple[int, int]]:
+            return [m.span() for m in re.finditer(r"\S+", text)]
+
+        def embed(text: str, window: list[tuple[int, int]]) -> np.ndarray:
+            own = encode_word([text[s:e] for s, e in window])
+            return own + 0.1 * own.mean(axis=0)
+
+        return spans, embed
+
+    return make
+
+
+def encode_late(docs: DataFrame, chunks: DataFrame, factory: TokenEncoderFactory, capacity: int = 8192, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(chunk_id, vec): late vectors of chunks (doc_id, chunk_id, char_start, char_end) of whole documents.
+
+    Each document is encoded once, in windows of `capacity` tokens that begin
+    two sentences before the end of the one before; a chunk is the mean, over
+    the windows that it meets, of the mean of its tokens there, as a unit
+    vector. A chunk without a token is an error. Windows of one document only
+    are in memory.
+    """
+    ship(docs.sparkSession)
+    spans_of = chunks.groupBy(id).agg(F.collect_list(F.struct("chunk_id", "char_start", "char_end")).alias("spans"))
+    rows = docs.select(id, F.coalesce(F.col(text), F.lit("")).alias("text")).join(spans_of, id).select("text", "spans")
+
+    def work(batches) -> Iterator[pa.RecordBatch]:
+        tokenise, embed = factory()
+        for b in batches:
+            names, vectors = [], []
+            for body, spans in zip(b["text"].to_pylist(), b["spans"].to_pylist(), strict=True):
+                tokens = tokenise(body)
+                first = np.array([s for s, _ in tokens], np.int64)
+                last = np.array([e for _, e in tokens], np.int64)
+                inside = [np.flatnonzero((last > c["char_start"]) & (first < c["char_end"])) for c in spans]
+                parts: list[list[np.ndarray]] = [[] for _ in spans]
+                for a, z in sentence_windows(tokens, body, capacity) if tokens else []:
+                    v = np.asarray(embed(body, tokens[a:z]), np.float64)
+                    for own, out in zip(inside, parts, strict=True):
+                        here = own[(own >= a) & (own < z)] - a
+                        if len(here):
+                            out.append(v[here].mean(axis=0))
+                for c, out in zip(spans, parts, strict=True):
+                    if not out:
+                        raise ValueError(f"no token lies in {c['chunk_id']}")
+                    mean = np.mean(out, axis=0)
+                    names.append(c["chunk_id"])
+                    vectors.append((mean / max(float(np.linalg.norm(mean)), 1e-12)).astype(np.float32))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(vectors, pa.list_(pa.float32()))], names=["chunk_id", "vec"])
+
+    return rows.mapInArrow(work, "chunk_id string, vec array<float>")
+
+
 def late_pool(token_vectors: DataFrame, chunks: DataFrame) -> DataFrame:
     """(chunk_id, vec): the mean over windows of the mean of the token vectors (doc_id, window, tok_start, tok_end, vec) that overlap a chunk's characters (doc_id, chunk_id, char_start, char_end), as a unit vector.
 

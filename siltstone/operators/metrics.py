@@ -102,3 +102,13 @@ def assemble(documents: DataFrame, fragments: DataFrame, queries: DataFrame) ->
 
     out = queries.join(arrays(documents, "documents"), "query_id", "left").join(arrays(fragments, "fragments"), "query_id", "left")
     return out.select("query_id", "query", "documents", "fragments")
+
+
+def align_results(questions: DataFrame, results: DataFrame, order: str = "line") -> DataFrame:
+    """Results of questions (line, query_id) with the questions' ids: by query_id; or, where no id is shared and both have as many rows, by their place. Question sets are some dozens of rows."""
+    cols = [c for c in results.columns if c not in ("query_id", order)]
+    shared = questions.join(results, "query_id", "left_semi").limit(1).count()
+    if shared or questions.count() != results.count():
+        return questions.join(results.drop(order), "query_id", "left")
+    place = F.row_number().over(Window.orderBy(order))
+    return questions.withColumn("_n", place).join(results.withColumn("_n", place).select("_n", *cols), "_n", "left").drop("_n")

@@ -196,3 +196,14 @@ def token_offsets(chunks: DataFrame, id: str = "doc_id") -> DataFrame:
 def sample(docs: DataFrame, n: int, seed: int = 42, id: str = "doc_id") -> DataFrame:
     """n documents, the same for a seed, in order of id."""
     return docs.orderBy(F.xxhash64(F.lit(seed), id), id).limit(n).orderBy(id)
+
+
+def chunk_report(candidates: DataFrame, text: str = "texto", section: str | None = None, kind: str = "separado_por", id: str = "doc_id", least: int = 15) -> DataFrame:
+    """(what, value, n) of chunks before any is dropped: documents, documents without a chunk left, chunks left out by reason, forced splits by kind."""
+    judged = candidates.withColumn("_reason", reject_reason(F.col(text), F.col(section) if section else None, least))
+    docs = judged.groupBy(id).agg(F.count_if(F.col("_reason").isNull()).alias("kept"))
+    totals = docs.agg(F.count(F.lit(1)).alias("documentos"), F.count_if(F.col("kept") == 0).alias("sin_chunks"))
+    totals = totals.select(F.inline(F.array(*[F.struct(F.lit("total").alias("what"), F.lit(c).alias("value"), F.col(c).alias("n")) for c in ("documentos", "sin_chunks")])))
+    reasons = judged.where("_reason IS NOT NULL").groupBy(F.lit("omitido").alias("what"), F.col("_reason").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    forced = judged.where(F.col("_reason").isNull() & (F.col(kind) != "oracion")).groupBy(F.lit("corte").alias("what"), F.col(kind).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return totals.unionAll(reasons).unionAll(forced)

@@ -696,6 +696,12 @@ def graph_retrieval(spark, d):
 # -- manifests and checks --
 
 
+@query(rf"SELECT lang, count(*) AS n, round(quantile_cont(w, 0.5), 4) AS median, round(quantile_cont(w, 0.75), 4) AS p75, round(quantile_cont(w, 0.9), 4) AS p90 FROM (SELECT lang, len(regexp_extract_all(text, '{WORD_SQL}')) AS w FROM documents) GROUP BY lang")
+def word_percentiles(spark, d):
+    counted = table(spark, d, "documents").select("lang", T.word_count("text").alias("w"))
+    return counted.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *[F.round(F.percentile("w", p), 4).alias(name) for name, p in (("median", 0.5), ("p75", 0.75), ("p90", 0.9))])
+
+
 @query("SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN lang ELSE upper(lang) END AS lang, CASE WHEN l.doc_id IS NULL THEN 1 ELSE 2 END AS version FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id")
 def manifest_upsert(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "lang")
@@ -809,6 +815,20 @@ def last_view_before_purchase(spark, d):
     return views.where("event_type = 'purchase'").select("event_id", "last_view")
 
 
+@query()
+def encode_late(spark, d):
+    """Late vectors of the chunks of whole documents by the default token encoder."""
+    docs = table(spark, d, "documents").select("doc_id", T.collapse_blanks("text").alias("text")).where("text <> ''")
+    return _rounded(embed.encode_late(docs, ingest.plain_chunks(docs), embed.hashing_token_encoder(4), 512).select("chunk_id", F.posexplode("vec").alias("dim", "x")).withColumn("x", F.col("x").cast("double")), "x")
+
+
+@query()
+def chunk_totals(spark, d):
+    """Reasons and forced splits of all sentence chunks."""
+    each = table(spark, d, "documents").select("doc_id", F.inline(packing.pack_sentences("text")))
+    return packing.chunk_report(each.select("doc_id", F.col("text").alias("texto"), F.col("kind").alias("separado_por")))
+
+
 @query()
 def streamed_chunks(spark, d):
     """The packing that streams run, over a table."""

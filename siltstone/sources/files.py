@@ -178,3 +178,11 @@ def pair_indexes(files: DataFrame, index: str, metadata: str, hint: str | None =
     b = each.where(F.col("name").rlike(metadata)).groupBy("dir").agg(F.min("path").alias("metadata_path"))
     pairs = a.join(b, "dir")
     return pairs.orderBy(F.when(F.lower("dir").contains(hint.lower()), 0).otherwise(1), "dir") if hint else pairs.orderBy("dir")
+
+
+def manifest_from_paths(files: DataFrame, formats: tuple[str, ...] = ("pdf",)) -> DataFrame:
+    """(doc_id, fenomeno, formato, path) of cleaned texts without a manifest: the id is the DOC-number in the name, fenomeno the number in F1_ to F3_, the format that of a folder like pdfs or pdf_full."""
+    number = F.regexp_extract(F.col("path"), r"(DOC-\d+)[^/]*$", 1)
+    kind = F.lower(F.regexp_extract(F.col("path"), r"(?i)/(" + "|".join(formats) + r")s?(?:_full)?/", 1))
+    rows = files.select(number.alias("doc_id"), F.regexp_extract("path", r"F([123])_", 1).try_cast("int").alias("fenomeno"), kind.alias("formato"), "path")
+    return rows.where("doc_id <> '' AND formato <> ''")

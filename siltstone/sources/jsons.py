@@ -108,3 +108,10 @@ def questions(rows: DataFrame, order: str = "line") -> DataFrame:
     n = F.row_number().over(Window.orderBy(order))
     checked = F.when(F.coalesce(T.collapse_blanks("query"), F.lit("")) == "", F.raise_error(F.lit("a question has no text"))).otherwise(F.col("query"))
     return rows.select(F.coalesce(F.col("query_id").cast("string"), F.format_string("q%03d", n)).alias("query_id"), checked.alias("query"))
+
+
+def read_optional(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """JSON lines, or an empty table where there is no file."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    return read_lines(spark, path, schema) if there else spark.createDataFrame([], schema)

@@ -235,6 +235,35 @@ def test_windows():
     assert all(x[0] < y[0] <= x[1] for x, y in zip(got, got[1:], strict=False))
 
 
+def test_encode_late(spark):
+    text = "One two. Three four five. Six."
+    docs = spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string")
+    chunks = spark.createDataFrame([(1, "a", 0, 8), (1, "b", 9, 30)], "doc_id long, chunk_id string, char_start int, char_end int")
+    for capacity in (3, 100):
+        got = {r["chunk_id"]: np.array(r["vec"]) for r in embed.encode_late(docs, chunks, embed.hashing_token_encoder(8), capacity).collect()}
+        spans, embed_ = embed.hashing_token_encoder(8)()
+        tokens = spans(text)
+        for name, own in (("a", {0, 1}), ("b", {2, 3, 4, 5})):
+            parts = []
+            for a, z in embed.sentence_windows(tokens, text, capacity):
+                here = [i - a for i in own if a <= i < z]
+                if here:
+                    parts.append(embed_(text, tokens[a:z])[here].mean(axis=0))
+            mean = np.mean(parts, axis=0)
+            assert np.allclose(got[name], mean / np.linalg.norm(mean), atol=1e-5)
+    lost = spark.createDataFrame([(1, "c", 100, 110)], "doc_id long, chunk_id string, char_start int, char_end int")
+    with pytest.raises(Exception, match="no token"):
+        embed.encode_late(docs, lost, embed.hashing_token_encoder(8)).collect()
+
+
+def test_align_results(spark):
+    asked = spark.createDataFrame([(1, "a"), (2, "b")], "line int, query_id string")
+    by_id = spark.createDataFrame([(1, "b", 5)], "line int, query_id string, x int")
+    assert {r["query_id"]: r["x"] for r in metrics.align_results(asked, by_id).collect()} == {"a": None, "b": 5}
+    by_place = spark.createDataFrame([(9, "q2", 7), (8, "q1", 6)], "line int, query_id string, x int")
+    assert {r["query_id"]: r["x"] for r in metrics.align_results(asked, by_place).collect()} == {"a": 6, "b": 7}
+
+
 def positions(text):
     at = 0
     for w in text.split():

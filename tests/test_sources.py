@@ -224,3 +224,36 @@ def test_event_windows_stream(spark, tmp_path):
     q = streams.event_windows(stream).writeStream.format("memory").queryName("w").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("w").count() == 2
+
+
+def test_paths_without_manifest_and_optional(spark, tmp_path):
+    rows = spark.createDataFrame([("/x/F2_a/pdfs/DOC-000012.txt",), ("/x/F9/pdf_full/DOC-1_b.txt",), ("/x/csv/DOC-2.txt",), ("/x/pdf/no.txt",)], "path string")
+    assert sorted((r["doc_id"], r["fenomeno"], r["formato"]) for r in files.manifest_from_paths(rows).collect()) == [("DOC-000012", 2, "pdf"), ("DOC-1", None, "pdf")]
+    assert jsons.read_optional(spark, str(tmp_path / "none.jsonl"), "x int").count() == 0
+
+
+def test_run_all(spark, tmp_path):
+    from siltstone.plans import run
+
+    calls = []
+
+    def good():
+        calls.append(1)
+        return spark.range(3)
+
+    def bad():
+        raise ValueError("broken")
+
+    path = f"file://{tmp_path}/out"
+    assert run.run_all(spark, {"a": good, "b": bad}, path) == {"a": "done", "b": "ValueError: broken"}
+    assert run.run_all(spark, {"a": good, "b": good}, path) == {"a": "skipped", "b": "done"} and len(calls) == 2
+    assert run.read_all(spark, ["a", "b", "c"], path).groupBy("config").count().count() == 2
+
+
+def test_chunk_report(spark):
+    from siltstone.operators import packing
+
+    long = "word " * 20
+    rows = spark.createDataFrame([(1, long, "oracion"), (1, "short", "oracion"), (2, "1 2 3 " * 6, "suboracion"), (3, long, "suboracion")], "doc_id long, texto string, separado_por string")
+    got = {(r["what"], r["value"]): r["n"] for r in packing.chunk_report(rows).collect()}
+    assert got == {("total", "documentos"): 3, ("total", "sin_chunks"): 1, ("omitido", "corto"): 1, ("omitido", "ruido_numerico"): 1, ("corte", "suboracion"): 1}
