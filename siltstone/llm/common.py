@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import functools
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -94,8 +94,14 @@ def _trim():
         return lambda _: 0
 
 
+#: What a worker does at the end of each task, as dropping most of a cache.
+AT_END: list[Callable[[], None]] = []
+
+
 def give_back() -> None:
-    """Returns freed memory to the system at the end of a task: workers live on, and beside an executor's heap there is little room."""
+    """Returns memory to the system at the end of a task: workers live on, several to an executor, and beside its heap there is little room."""
+    for shrink in AT_END:
+        shrink()
     pa.default_memory_pool().release_unused()
     _trim()(0)
 
@@ -150,7 +156,8 @@ def components(edges: DataFrame) -> DataFrame:
     links = stash(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
     before = digest(links)
     while True:
-        new = stash(star(star(links, True), False), "links")
+        # A round has at most as many links as it got, and a file for each million.
+        new = stash(star(star(links, True), False).coalesce(1 + before[0] // 1_000_000), "links")
         now = digest(new)
         forget(links)
         links = new

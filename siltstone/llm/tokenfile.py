@@ -29,6 +29,8 @@ from siltstone.llm.tokens import default_path, encoder
 MAGIC = b"SILTIDS1"
 BLOCK = 4096
 NO_ID = -(1 << 63)
+#: Files that one task reads.
+FILES_PER_TASK = 4
 
 
 def bits_for(vocabulary: int) -> int:
@@ -163,7 +165,7 @@ def read_files(files: DataFrame) -> DataFrame:
     """
     running = Window.orderBy("part", "nth").rowsBetween(Window.unboundedPreceding, -1)
     placed = stash(files.withColumn("before", F.coalesce(F.sum("n_ids").over(running), F.lit(0))), "placed")
-    spread = placed.select("path", "before").repartition(max(1, min(placed.count(), 4096)))
+    spread = placed.select("path", "before").repartition(max(1, -(-placed.count() // FILES_PER_TASK)))
 
     def work(batches):
         for b in batches:
@@ -190,7 +192,8 @@ def round_trip(docs: DataFrame, tokenizer: str, folder: str, end: int = 2) -> Da
     their texts, null ids before all others. An empty table writes no file and
     gives an empty result. Columns other than doc_id and text are not read.
     """
-    return read_files(stash(write_files(docs, folder, tokenizer, end), "files"))
+    files = write_files(docs, folder, tokenizer, end)
+    return read_files(stash(files.repartition(1 + files.sparkSession.sparkContext.defaultParallelism // 64), "files"))
 
 
 def op7_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,10 +11,12 @@ import functools
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
+from siltstone.llm.common import AT_END
+
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -33,13 +35,14 @@ class Encoder:
     whole, as those are looked for before lower-casing.
     """
 
-    def __init__(self, path: str, capacity: int = 300_000):
+    def __init__(self, path: str, capacity: int = 250_000, kept: int = 80_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to other tasks
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.capacity = capacity
+        self.capacity, self.kept = capacity, kept
         self.known: dict[bytes, bytes] = {}
+        self.again: set[bytes] = set()  # pieces of several batches
         made = json.loads(self.tokenizer.to_str())
         self.lowers = '"Lowercase"' in json.dumps(made.get("normalizer"))
         self.added = [t["content"].lower().encode() for t in made["added_tokens"]]
@@ -53,28 +56,37 @@ class Encoder:
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
-    def learn(self, new: list[bytes]) -> None:
-        """Encodes pieces: plain ones many at a time, as one text that is cut again at ends of words, the others one by one."""
-        words, rest = [], []
+    def learn(self, new: Iterable[bytes]) -> None:
+        """Encodes pieces: plain words many at a time, as one text that is cut again at ends of words, with what the points and commas after them give; the others one by one."""
+        words, after, rest = [], [], []
+        if self.plain:
+            words = [p for p in new if p.isalpha()]  # A-Z alone: most pieces
+            new = set(new).difference(words)
         for piece in new:
             found = self.plain and self.plain(piece)
-            if found:
-                words.append((piece, 2 if found[1] else 1))
-            else:
+            if not found:
                 rest.append(piece)
+            elif found[1]:
+                after.append((piece, found.start(1)))
+            else:
+                words.append(piece)
+        cores = {p[:n] for p, n in after}.difference(words, self.known)
+        words += cores
         for i in range(0, len(words), 4096):
             some = words[i : i + 4096]
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join([p for p, _ in some]).decode()], add_special_tokens=False)[0].ids, "<u4")
-            bounds = np.cumsum([n for _, n in some]) - 1
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.last[ids])
-            if len(ends) != bounds[-1] + 1:
-                rest += [p for p, _ in some]
+            if len(ends) != len(some):
+                rest += some
                 continue
-            ends, data = (4 * (ends[bounds] + 1)).tolist(), ids.tobytes()
-            for (piece, _), a, b in zip(some, [0, *ends[:-1]], ends, strict=True):
-                self.known[piece] = data[a:b]
+            ends, data = (4 * (ends + 1)).tolist(), ids.tobytes()
+            self.known.update(zip(some, [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
+        rest += {p[n:] for p, n in after}.difference(self.known)
         for piece, found in zip(rest, self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False), strict=True):
             self.known[piece] = np.array(found.ids, "<u4").tobytes()
+        known = self.known
+        for piece, n in after:
+            known[piece] = known[piece[:n]] + known[piece[n:]]
 
     def encode(self, texts: list[str], end: int | None = None) -> Iterator[bytes]:
         """Each text's ids as bytes, with the id end after them if given."""
@@ -90,20 +102,28 @@ class Encoder:
                     split.append((low if self.lowers else data).split())
                 size += len(data)
                 upto += 1
-            new = list(set().union(*filter(None, split)).difference(self.known))
-            self.learn(new)
+            every = set().union(*filter(None, split))
+            if len(self.again) < self.kept:
+                self.again |= self.known.keys() & every
+            self.learn(every.difference(self.known))
             for text, words in zip(texts[at:upto], split, strict=True):
                 if words is None:
                     yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + tail
                 else:
                     yield b"".join(map(self.known.__getitem__, words)) + tail
             if len(self.known) > self.capacity:
-                for piece in new:
-                    del self.known[piece]
+                self.shrink()
             at = upto
 
 
+    def shrink(self) -> None:
+        """Forgets all pieces but those that several batches had."""
+        self.known = {p: self.known[p] for p in self.again if p in self.known}
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder a worker and file; workers are used again by later tasks."""
-    return Encoder(path)
+    """One encoder a worker and file; workers are used again by later tasks, which start with the pieces that shrink() leaves."""
+    made = Encoder(path)
+    AT_END.append(made.shrink)
+    return made
