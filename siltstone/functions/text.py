@@ -62,7 +62,7 @@ def clean_value(c: Column | str) -> Column:
 
 def strip_row_marker(c: Column | str) -> Column:
     """A cleaned record line without its leading [fila n]."""
-    return F.trim(sub(clean_value(c), r"^(?i)\s*\[fila\s+\d+\]\s*[:\-]?\s*"))
+    return F.trim(sub(clean_value(c), W.ROW_MARKER))
 
 
 def expand_ligatures(c: Column | str) -> Column:
@@ -79,15 +79,15 @@ def join_hyphenated(c: Column | str) -> Column:
 
 def join_broken_urls(c: Column | str) -> Column:
     """A URL and what stands at the start of the next line become one."""
-    return sub(c, r"(?i)(https?://\S+)\n(\S+)", "$1$2")
+    return sub(c, W.BROKEN_URL, "$1$2")
 
 
 def strip_markup(c: Column | str) -> Column:
     """Markdown links become their labels; HTML tags go, and one heading mark and one list mark at the start of the text."""
-    out = sub(c, r"!?\[([^\]]+)\]\([^)]*\)", "$1")
-    out = sub(out, r"</?[A-Za-z][^>]*>")
-    out = sub(out, r"^\s{0,3}#{1,6}\s*")
-    return sub(out, r"^\s{0,3}(?:[-*+]\s+|\d+[.)]\s+)")
+    out = sub(c, W.MARKDOWN_LINK, "$1")
+    out = sub(out, W.HTML_TAG)
+    out = sub(out, W.HEADING_MARK)
+    return sub(out, W.LIST_MARK)
 
 
 def normalise_block(c: Column | str) -> Column:
@@ -114,7 +114,7 @@ def block_key(c: Column | str) -> Column:
 
 
 def mojibake_hits(c: Column | str) -> Column:
-    return F.regexp_count(col(c), F.lit("(?:Ã.|Â.|â(?:€|–|—|…)|Ëœ|�)"))
+    return F.regexp_count(col(c), F.lit(W.MOJIBAKE))
 
 
 def repair_mojibake(c: Column | str) -> Column:
@@ -178,7 +178,7 @@ def language(c: Column | str) -> Column:
 def is_numeric_noise(c: Column | str) -> Column:
     """Digits without a letter, and no percentage, currency or year to give them a meaning."""
     text = F.trim(col(c))
-    return ~text.rlike(r"[A-Za-zÀ-ÿ]") & text.rlike(r"\d") & ~text.rlike(r"[%$€£¥₹]|\b(?:19|20)\d{2}\b")
+    return ~text.rlike(r"[A-Za-zÀ-ÿ]") & text.rlike(r"\d") & ~text.rlike(W.MEANINGFUL_NUMBER)
 
 
 def heading_key(c: Column | str) -> Column:
@@ -197,15 +197,15 @@ def is_end_matter_heading(c: Column | str) -> Column:
     return heading_key(c).isin(*W.END_MATTER_NAMES)
 
 
-TOC_ENTRY = r"^(?:[-*+•]\s+)?(?:\d+(?:\.\d+)*[.)]?\s+)?.+?(?:\.{2,}|\s)\s*\d{1,4}\s*$"
-TOC_NUMBERED = r"^\s*\d+(?:\.\d+)*[.)]?\s+.{2,100}(?:\s+\d{1,4})?\s*$"
+TOC_ENTRY = W.TOC_ENTRY
+TOC_NUMBERED = W.TOC_NUMBERED
 
 
 def is_toc_entry(c: Column | str, in_toc: Column) -> Column:
     """An entry of a table of contents: a trailing page number; within one also numbered, or short lines that end no sentence, or short headings."""
     line = F.trim(col(c))
     n = word_count(line)
-    inside = line.rlike(TOC_NUMBERED) | ((n <= 14) & ~line.rlike(r"[.!?。！？]$")) | (line.rlike(r"^\s{0,3}#{1,6}\s+(.+?)\s*$") & (n <= 20))
+    inside = line.rlike(TOC_NUMBERED) | ((n <= 14) & ~line.rlike(r"[.!?。！？]$")) | (line.rlike(W.HEADING) & (n <= 20))
     return (line != "") & (line.rlike(TOC_ENTRY) | (in_toc & inside))
 
 
@@ -219,7 +219,7 @@ def is_toc_noise(c: Column | str, section: Column | None = None) -> Column:
     return noise if section is None else F.coalesce(is_toc_heading(section), F.lit(False)) | noise
 
 
-TABLE_RULE = r"^\s*\|?\s*:?-{2,}:?\s*(?:\|\s*:?-{2,}:?\s*)+\|?\s*$"
+TABLE_RULE = W.TABLE_RULE
 
 
 def lines(c: Column | str) -> Column:
@@ -260,7 +260,7 @@ def continues(previous: Column, current: Column) -> Column:
 
 def is_page_number(c: Column | str) -> Column:
     """A line that is a page number alone, with página, page or a dash before it."""
-    return F.trim(col(c)).rlike(r"^(?i)(?:página|page)?\s*[-–—]?\s*\d{1,4}\s*$")
+    return F.trim(col(c)).rlike(W.PAGE_NUMBER)
 
 
 def is_plain_page_number(c: Column | str) -> Column:
@@ -270,15 +270,15 @@ def is_plain_page_number(c: Column | str) -> Column:
 
 def is_bang_line(c: Column | str) -> Column:
     """What PDF extraction leaves of some glyphs: two bangs, or a bang and a number."""
-    return F.trim(col(c)).rlike(r"^(?:!\s*!|!\s*\d{1,4})$")
+    return F.trim(col(c)).rlike(W.BANG_LINE)
 
 
 def is_extraction_mark(c: Column | str) -> Column:
-    return col(c).rlike(r"^\s*(?:!+\s*\d+|!{2,}|[~`^]+)\s*$")
+    return col(c).rlike(W.EXTRACTION_MARK)
 
 
 def is_page_mark(c: Column | str) -> Column:
-    return col(c).rlike(r"^(?i)\s*\*?\s*<!--\s*(?:p[áa]gina|page)\s+\d+\s*-->\s*\*?\s*$")
+    return col(c).rlike(W.PAGE_MARK)
 
 
 def is_marked_page_number(c: Column | str, romans: bool = True) -> Column:
@@ -287,7 +287,7 @@ def is_marked_page_number(c: Column | str, romans: bool = True) -> Column:
     return col(c).rlike(rf"^(?i)\s*(?:\*\*|__|\*|_)?(?:{digits})(?:\*\*|__|\*|_)?\s*$")
 
 
-BULLET = r"^\s*[•▪◦‣⁃∙·●○■□➢➤-]\s+"
+BULLET = W.BULLET
 
 
 def strip_bullet(c: Column | str) -> Column:
@@ -295,7 +295,7 @@ def strip_bullet(c: Column | str) -> Column:
 
 
 def is_reference_line(c: Column | str) -> Column:
-    return col(c).rlike(r"^\s*(?:\[\d+\]|\d+[.)])\s+")
+    return col(c).rlike(W.REFERENCE_LINE)
 
 
 def is_reference_heading(c: Column | str) -> Column:
@@ -313,7 +313,7 @@ def is_removable_heading(c: Column | str) -> Column:
 def is_kept_heading(c: Column | str) -> Column:
     """Chapter 1, part II preview and the like, and headings by name that content hangs on."""
     name = heading_name(c)
-    return name.rlike(r"^(?i)(?:chapter|chap\.?|part|section|appendix)\s+[a-z]?\d+(?:\s+(?:preview|highlights?))?\s*$") | F.lower(name).isin(*W.KEPT_HEADINGS)
+    return name.rlike(W.NUMBERED_HEADING) | F.lower(name).isin(*W.KEPT_HEADINGS)
 
 
 def is_content_heading(c: Column | str) -> Column:
@@ -331,8 +331,8 @@ def is_structural(c: Column | str) -> Column:
     letters = F.length(sub(line, r"[^\p{L}]"))
     capitals = F.length(sub(line, r"[^\p{Lu}]"))
     shouted = (F.length(line) <= 100) & ~line.rlike(r"[.,;:]$") & (letters > 0) & (capitals / letters >= 0.7)
-    numbers = (F.regexp_count(line, F.lit(r"\b\d[\d,.%$-]*\b")) >= 4) & (F.length(line) <= 180)
-    return (line == "") | is_reference_line(line) | F.lower(line).rlike("^https?://") | col(c).rlike(BULLET) | F.coalesce(shouted, F.lit(False)) | line.rlike(r"^\d+(?:\.\d+)?%?\s+[A-Z]") | numbers
+    numbers = (F.regexp_count(line, F.lit(W.NUMBER)) >= 4) & (F.length(line) <= 180)
+    return (line == "") | is_reference_line(line) | F.lower(line).rlike("^https?://") | col(c).rlike(BULLET) | F.coalesce(shouted, F.lit(False)) | line.rlike(W.NUMBER_BEFORE_CAPITAL) | numbers
 
 
 # -- identifiers and small records --

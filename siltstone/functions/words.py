@@ -1,4 +1,4 @@
-"""Word lists, names and formats that results depend on."""
+"""Word lists, names, formats and patterns that results depend on."""
 
 from __future__ import annotations
 
@@ -127,3 +127,28 @@ ENTITY_KINDS = (
 RELATION_KINDS = (
     "develops", "uses", "located_in", "participates_in", "regulates", "signed", "cooperates_with", "affects", "related_to",
 )
+
+# Patterns, in the syntax of Java's regular expressions (SENTENCE in Python's).
+MOJIBAKE = "(?:Ã.|Â.|â(?:€|–|—|…)|Ëœ|�)"
+ROW_MARKER = r"^(?i)\s*\[fila\s+\d+\]\s*[:\-]?\s*"
+BROKEN_URL = r"(?i)(https?://\S+)\n(\S+)"
+MARKDOWN_LINK = r"!?\[([^\]]+)\]\([^)]*\)"
+HTML_TAG = r"</?[A-Za-z][^>]*>"
+HEADING_MARK = r"^\s{0,3}#{1,6}\s*"
+LIST_MARK = r"^\s{0,3}(?:[-*+]\s+|\d+[.)]\s+)"
+MEANINGFUL_NUMBER = r"[%$€£¥₹]|\b(?:19|20)\d{2}\b"
+PAGE_NUMBER = r"^(?i)(?:página|page)?\s*[-–—]?\s*\d{1,4}\s*$"
+BANG_LINE = r"^(?:!\s*!|!\s*\d{1,4})$"
+EXTRACTION_MARK = r"^\s*(?:!+\s*\d+|!{2,}|[~`^]+)\s*$"
+PAGE_MARK = r"^(?i)\s*\*?\s*<!--\s*(?:p[áa]gina|page)\s+\d+\s*-->\s*\*?\s*$"
+REFERENCE_LINE = r"^\s*(?:\[\d+\]|\d+[.)])\s+"
+NUMBERED_HEADING = r"^(?i)(?:chapter|chap\.?|part|section|appendix)\s+[a-z]?\d+(?:\s+(?:preview|highlights?))?\s*$"
+NUMBER_BEFORE_CAPITAL = r"^\d+(?:\.\d+)?%?\s+[A-Z]"
+NUMBER = r"\b\d[\d,.%$-]*\b"
+HEADING = r"^\s{0,3}#{1,6}\s+(.+?)\s*$"
+TOC_ENTRY = r"^(?:[-*+•]\s+)?(?:\d+(?:\.\d+)*[.)]?\s+)?.+?(?:\.{2,}|\s)\s*\d{1,4}\s*$"
+TOC_NUMBERED = r"^\s*\d+(?:\.\d+)*[.)]?\s+.{2,100}(?:\s+\d{1,4})?\s*$"
+TABLE_RULE = r"^\s*\|?\s*:?-{2,}:?\s*(?:\|\s*:?-{2,}:?\s*)+\|?\s*$"
+BULLET = r"^\s*[•▪◦‣⁃∙·●○■□➢➤-]\s+"
+SENTENCE = r"\S.*?(?:[.!?。！？]+(?=\s|$)|$)"
+LABEL = r"^([A-Za-z0-9_$.\[\]-]+):\s*(.*)$"

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.functions import words as W
 from siltstone.session import ship
 
 #: Makes an encoder on a worker: called once a task, it returns texts -> matrix of one row a text.
@@ -65,7 +66,7 @@ def sentence_windows(tokens: list[tuple[int, int]], text: str, capacity: int, ba
     starts = np.array([s for s, _ in tokens])
     ends = np.array([e for _, e in tokens])
     pieces: list[tuple[int, int]] = []
-    for m in re.finditer(r"\S.*?(?:[.!?。！？]+(?=\s|$)|$)", text, re.DOTALL):
+    for m in re.finditer(W.SENTENCE, text, re.DOTALL):
         own = np.flatnonzero((ends > m.start()) & (starts < m.end()))
         if len(own):
             pieces += [(i, min(i + capacity, own[-1] + 1)) for i in range(int(own[0]), int(own[-1]) + 1, capacity)]

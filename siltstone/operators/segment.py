@@ -32,7 +32,7 @@ def careful_sentences(text: Column | str) -> Column:
     return F.filter(parts, lambda p: p != "")
 
 
-HEADING = r"^\s{0,3}#{1,6}\s+(.+?)\s*$"
+HEADING = W.HEADING
 
 
 def blocks(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -57,7 +57,7 @@ def first_of_each_text(rows: DataFrame, id: str = "doc_id", piece: str = "piece"
 
 def label_value(line: Column | str) -> Column:
     """(label, value) of a line "label: value"; a null label if it has none."""
-    pattern = r"^([A-Za-z0-9_$.\[\]-]+):\s*(.*)$"
+    pattern = W.LABEL
     label = F.regexp_extract(T.col(line), pattern, 1)
     return F.struct(F.when(label != "", label).alias("label"), F.when(label != "", F.regexp_extract(T.col(line), pattern, 2)).otherwise(T.col(line)).alias("value"))
 
