@@ -59,6 +59,12 @@ def forget(df: DataFrame) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where.getParent(), True)
 
 
+def least_rows(docs: DataFrame, named: DataFrame, kept: DataFrame) -> DataFrame:
+    """Of named, the rows of docs with a doc_id and a mark of their text, those whose (doc_id, mark) is kept, each once (the least by its columns); and the rows of docs without a doc_id."""
+    rows = named.join(kept, ["doc_id", "mark"], "left_semi").groupBy("doc_id", "mark").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return rows.select("row.*").unionByName(docs.where("doc_id IS NULL"))
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of doc_id as text, modulo n; null ids count as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
