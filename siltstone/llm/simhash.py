@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import components, forget, local_components, lower_words, map_arrow, stash, table, texts_of
+from siltstone.llm.common import components, forget, least_rows, local_components, lower_words, map_arrow, stash, table, texts_of
 
 SEED = 42
 
@@ -42,15 +42,15 @@ def fingerprint(text: str, shingle: int = 4) -> int:
     return sum(1 << b for b in range(64) if 2 * int(ones[b]) > len(h))
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp): the SimHash of each text, as a signed 64-bit number; null texts count as empty."""
+def fingerprints(docs: DataFrame, shingle: int = 4, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp): the SimHash of each text, as a signed 64-bit number; null texts count as empty. Long columns named in extra stay."""
 
     def work(batches):
         for b in batches:
             fps = np.array([fingerprint(t, shingle) for t in texts_of(b["text"])], np.uint64)
-            yield {"doc_id": b["doc_id"].cast("int64"), "fp": pa.array(fps.view(np.int64))}
+            yield {"doc_id": b["doc_id"].cast("int64"), "fp": pa.array(fps.view(np.int64)), **{c: b[c] for c in extra}}
 
-    return map_arrow(docs.select("doc_id", "text"), work, "doc_id long, fp long")
+    return map_arrow(docs.select("doc_id", "text", *extra), work, ", ".join(["doc_id long, fp long", *(f"{c} long" for c in extra)]))
 
 
 class Ball:
@@ -120,6 +120,13 @@ def near_links(fps: DataFrame, count: int, within: int = 4, variants_per_bucket:
     return map_arrow(fps.select("fp"), deal, "bucket long, fp long").groupBy("bucket").applyInArrow(meet, "a long, b long")
 
 
+def rooted(distinct: DataFrame, within: int) -> DataFrame:
+    """(fp, least_id, root) of distinct (fp, least_id): root names the class that links of at most `within` differing bits reach."""
+    roots = components(near_links(distinct, distinct.count(), within))
+    whole = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
+    return stash(whole, "rooted")
+
+
 def near_classes(docs: DataFrame, shingle: int = 4, within: int = 4) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id, the smallest doc_id that links of at most `within` differing bits reach.
 
@@ -131,9 +138,7 @@ def near_classes(docs: DataFrame, shingle: int = 4, within: int = 4) -> DataFram
     """
     own = stash(fingerprints(docs, shingle), "fingerprints")
     distinct = stash(own.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct")
-    roots = components(near_links(distinct, distinct.count(), within))
-    whole = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    whole = stash(whole, "rooted")
+    whole = rooted(distinct, within)
     least = whole.groupBy("root").agg(F.min("least_id").alias("component_id"))
     classes = stash(whole.join(least, "root").select("fp", "component_id"), "classes")
     forget(whole)
@@ -142,11 +147,12 @@ def near_classes(docs: DataFrame, shingle: int = 4, within: int = 4) -> DataFram
 
 
 def keep_first(docs: DataFrame, shingle: int = 4, within: int = 4) -> DataFrame:
-    """The rows of docs that stand for their class: the smallest doc_id of each, once. All columns stay. Rows without a doc_id can't be named and all stay."""
-    named = docs.where("doc_id IS NOT NULL")
-    classes = near_classes(named.select("doc_id", "text"), shingle, within)
-    kept = stash(classes.where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    return named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    """The rows of docs that stand for their class: of each, the one of the smallest doc_id, then of the smallest hash of its text, once. All columns stay. Rows without a doc_id can't be named and all stay."""
+    named = docs.where("doc_id IS NOT NULL").withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
+    own = fingerprints(named, shingle, ("mark",))
+    distinct = stash(own.groupBy("fp").agg(F.min(F.struct("doc_id", "mark")).alias("least_id")), "distinct")
+    kept = rooted(distinct, within).groupBy("root").agg(F.min("least_id").alias("least"))
+    return least_rows(docs, named, stash(kept.select("least.doc_id", "least.mark"), "kept"))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

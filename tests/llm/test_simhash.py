@@ -98,3 +98,12 @@ def test_keep_first_keeps_columns_and_rows_without_id(docs):
     ids = [r["doc_id"] for r in kept.collect()]
     assert ids.count(None) == 1 and len(ids) == len(set(ids))
     assert 1 in ids and not {60, 61, 62} & set(ids)
+
+
+def test_keep_first_of_two_texts_with_one_id(spark):
+    one, other = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, one), (1, other), (1, other), (2, one), (0, other)]
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(0, other), (1, one)]
+    kept = simhash.keep_first(spark.createDataFrame(rows[:4], "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, one), (1, other)]
