@@ -1,14 +1,16 @@
 """Licence scans: what licence a file states, or inherits from a directory above it.
 
-Lines of a text (and the whole text of a licence file) are compared to licence
-templates by the cosine of sparse TF-IDF vectors, with document frequencies
-over all texts. A file that states nothing takes the licence of the nearest
-directory above it that has a licence file. All of it is DataFrame code: a
-text never leaves the JVM.
-
-A line can only reach the threshold if it has one of the anchors of a template,
-the heaviest terms without which what is left of the template is shorter than
-the threshold; other lines are passed over, at no loss.
+A text is the sequence of its terms, whatever lines they stand on. Passages of
+it are compared to licence templates by the cosine of sparse TF-IDF vectors,
+with document frequencies over all texts. A passage has as many terms as a
+template and lies where an anchor of the template stands where the template
+has it; the whole of a licence file is a passage too. So notices are found that
+are wrapped over lines, stand inside a sentence or were edited a little. A file
+that states nothing takes the licence of the nearest directory above it that
+has a licence file. All of it is DataFrame code: a text never leaves the JVM.
+
+The anchors of a template are its heaviest terms, without which what is left of
+it is shorter than the threshold: a passage without one can't reach it.
 """
 
 from __future__ import annotations
@@ -63,6 +65,10 @@ def template_counts() -> list[tuple[str, Counter]]:
     return [(name, Counter(re.findall(TERM, text.lower()))) for name, text in TEMPLATES]
 
 
+def template_terms() -> list[list[str]]:
+    return [re.findall(TERM, text.lower()) for _, text in TEMPLATES]
+
+
 def idf(n_docs: int, df: int) -> float:
     return math.log((1 + n_docs) / (1 + df)) + 1
 
@@ -76,61 +82,80 @@ def frequencies(files: DataFrame) -> tuple[int, dict[str, int]]:
     return counts.pop("", 0), counts
 
 
-def anchors(vectors: list[dict[str, float]], threshold: float) -> list[str]:
-    """For each template of length 1 the heaviest terms, as many that the rest is shorter than the threshold."""
+def anchors(v: dict[str, float], threshold: float) -> set[str]:
+    """Of a template of length 1 the heaviest terms, as many that the rest is shorter than the threshold."""
     found: set[str] = set()
-    for v in vectors:
-        left = sum(w * w for w in v.values())
-        for t, w in sorted(v.items(), key=lambda x: (-x[1], x[0])):
-            if left < threshold**2 - 1e-9:
-                break
-            found.add(t)
-            left -= w * w
-    return sorted(found)
+    left = sum(w * w for w in v.values())
+    for t, w in sorted(v.items(), key=lambda x: (-x[1], x[0])):
+        if left < threshold**2 - 1e-9:
+            break
+        found.add(t)
+        left -= w * w
+    return found
+
+
+#: A passage is named by START * its first term's place + its number of terms; the whole text is -1.
+START = 1000
+
+
+def passages(text: Column, path: Column, places: list[tuple[str, int, int]]) -> Column:
+    """The passages (name, terms) of a text. places: an anchor, its place in a template, and the template's terms, for all of them."""
+    marks = sorted({t for t, _, _ in places})
+    folded = F.translate(text, UPPER, LOWER)
+    some = F.lit(False)
+    for m in marks:
+        some = some | folded.contains(m)  # else there is nothing to cut into terms
+    every = F.array(*(F.struct(F.lit(t).alias("t"), F.lit(k).alias("k"), F.lit(n).alias("n")) for t, k, n in places))
+    all_terms = terms(text)
+    hits = F.filter(F.transform(all_terms, lambda t, i: F.struct(t.alias("t"), i.alias("i"))), lambda x: F.array_contains(F.array(*map(F.lit, marks)), x["t"]))
+    names = F.array_distinct(F.flatten(F.transform(hits, lambda x: F.transform(F.filter(every, lambda a: a["t"] == x["t"]), lambda a: F.greatest(x["i"] - a["k"], F.lit(0)).cast("long") * START + a["n"]))))
+    found = F.transform(names, lambda c: F.struct(c.alias("name"), F.slice(all_terms, F.floor(c / START).cast("int") + 1, (c % START).cast("int")).alias("terms")))
+    whole = F.array(F.struct(F.lit(-1).cast("long").alias("name"), all_terms.alias("terms")))
+    return F.when(some, F.when(is_licence_file(path), F.concat(whole, found)).otherwise(found))
+
+
+def is_licence_file(path: Column) -> Column:
+    return F.coalesce(F.regexp_extract(path, "[^/]*$", 0).rlike(LICENCE_FILE), F.lit(False))
 
 
 def stated(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, path, own_license, own_score, own_line) of files (doc_id, path, text).
+    """(doc_id, path, own_license, own_score, own_at) of files (doc_id, path, text).
 
-    The line, from 0, or -1 for the whole of a licence file, with the largest
-    cosine to any template, if that is at least the threshold; ties go to
-    earlier lines (the whole first), then to templates in their order. Scores
-    are rounded to 6 digits. Null texts count as empty and state nothing.
+    own_at is the place of the first term, from 0, of the passage with the
+    largest cosine to any template, or -1 for the whole of a licence file, if
+    that cosine is at least the threshold; ties go to the whole, then to
+    earlier and shorter passages, then to templates in their order. Scores are
+    rounded to 6 digits. Null texts count as empty and state nothing.
     """
+    spark = files.sparkSession
     files = files.select("doc_id", "path", F.coalesce("text", F.lit("")).alias("text"))
     n_docs, df = frequencies(files)
     weights = {t: idf(n_docs, df.get(t, 0)) for t in set().union(*(c for _, c in template_counts()))}
-    vectors = []
-    for _, counts in template_counts():
+    vectors, places = [], set()
+    for (_, counts), sequence in zip(template_counts(), template_terms(), strict=True):
         v = {t: n * weights[t] for t, n in counts.items()}
         norm = math.sqrt(sum(w * w for w in v.values()))
         vectors.append({t: w / norm for t, w in v.items()})
-
-    def literal(v: dict[str, float]) -> Column:
-        return F.create_map(*(F.lit(x) for t in sorted(v) for x in (t, v[t])))
-
-    lines = F.transform(F.split("text", "\n"), lambda line, i: F.struct(i.alias("line"), terms(line).alias("terms")))
-    whole = F.when(F.regexp_extract("path", "[^/]*$", 0).rlike(LICENCE_FILE), F.array(F.struct(F.lit(-1).alias("line"), terms(F.col("text")).alias("terms")))).otherwise(F.array().cast("array<struct<line:int,terms:array<string>>>"))
-    marks = F.array(*map(F.lit, anchors(vectors, threshold)))
-    passages = F.filter(F.concat(whole, lines), lambda p: F.arrays_overlap(p["terms"], marks))
-    found = files.select("doc_id", "path", passages.alias("passages"))
-    each = found.select("doc_id", "path", F.explode_outer("passages").alias("p")).select("doc_id", "path", "p.line", "p.terms")
-    unknown = idf(n_docs, 0)
-    own = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("t"), (F.size(F.filter("terms", lambda x: x == t)) * F.coalesce(F.element_at(literal(weights), t), F.lit(unknown))).alias("w")))
-    each = each.withColumn("own", own).withColumn("norm", F.sqrt(F.aggregate("own", F.lit(0.0), lambda s, x: s + x["w"] * x["w"])))
-
-    def cosine(v: dict[str, float]) -> Column:
-        return F.round(F.aggregate("own", F.lit(0.0), lambda s, x: s + x["w"] * F.coalesce(F.element_at(literal(v), x["t"]), F.lit(0.0))) / F.col("norm"), 6)
-
-    likes = F.array(*(F.struct(cosine(v).alias("score"), (-F.col("line")).alias("before"), F.lit(-i).alias("template")) for i, v in enumerate(vectors)))
-    best = each.select("doc_id", "path", F.array_max(likes).alias("best")).groupBy("doc_id", "path").agg(F.max("best").alias("best"))
+        own = anchors(vectors[-1], threshold)
+        places |= {(t, k, len(sequence)) for k, t in enumerate(sequence) if t in own}
+
+    found = files.select("doc_id", "path", F.inline(passages(F.col("text"), F.col("path"), sorted(places))))
+    counted = found.select("doc_id", "path", "name", F.explode("terms").alias("t")).groupBy("doc_id", "path", "name", "t").agg(F.count(F.lit(1)).alias("n"))
+    known = spark.createDataFrame([(t, w, [v.get(t, 0.0) for v in vectors]) for t, w in sorted(weights.items())], "t string, w double, v array<double>")
+    weighed = counted.join(F.broadcast(known), "t", "left").withColumn("w", F.col("n") * F.coalesce("w", F.lit(idf(n_docs, 0))))
+    dots = [F.sum(F.col("w") * F.coalesce(F.col("v")[i], F.lit(0.0))).alias(f"d{i}") for i in range(len(vectors))]
+    each = weighed.groupBy("doc_id", "path", "name").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), *dots)
+    likes = F.array_max(F.array(*(F.struct(F.round(F.col(f"d{i}") / F.col("norm"), 6).alias("score"), F.lit(-i).alias("template")) for i in range(len(vectors)))))
+    each = each.select("doc_id", "path", F.struct(likes["score"].alias("score"), (-F.col("name")).alias("before"), likes["template"].alias("template")).alias("like")).where(F.col("like.score") >= threshold)
+    best = each.groupBy("doc_id", "path").agg(F.max("like").alias("best"))
     names = F.array(*(F.lit(name) for name, _ in TEMPLATES))
-    good = F.col("best.score") >= threshold
-    return best.select("doc_id", "path", F.when(good, F.element_at(names, 1 - F.col("best.template"))).alias("own_license"), F.when(good, F.col("best.score")).alias("own_score"), F.when(good, -F.col("best.before")).alias("own_line"))
+    at = F.when(F.col("best.before") == 1, -1).otherwise(F.floor(-F.col("best.before") / START))
+    best = best.select("doc_id", "path", F.element_at(names, 1 - F.col("best.template")).alias("own_license"), F.col("best.score").alias("own_score"), at.cast("int").alias("own_at"))
+    return files.select("doc_id", "path").distinct().alias("f").join(best.alias("b"), F.struct("f.doc_id", "f.path").eqNullSafe(F.struct("b.doc_id", "b.path")), "left").select("f.doc_id", "f.path", "own_license", "own_score", "own_at")
 
 
 def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per distinct (doc_id, path) of files (doc_id, path, text): what it states (own_license, own_score, own_line), license, and inherited_from, the directory that a licence not its own is from.
+    """One row per distinct (doc_id, path) of files (doc_id, path, text): what it states (own_license, own_score, own_at), license, and inherited_from, the directory that a licence not its own is from.
 
     A directory has the licence that a licence file right in it states, of
     several the one of the largest score, then of the smallest path. Files
@@ -144,8 +169,8 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     inherit, and Spark may split a directory of very many files.
     """
     own = stash(stated(files, threshold).withColumn("dir", F.regexp_extract("path", "^(.*)/[^/]*$", 1)), "own")
-    licensed = own.where(F.col("own_license").isNotNull() & (F.col("dir") != "") & F.regexp_extract("path", "[^/]*$", 0).rlike(LICENCE_FILE))
-    licensed = licensed.groupBy(F.col("dir").alias("above")).agg(F.min(F.struct((-F.col("own_score")).alias("s"), "path", F.col("own_license").alias("license"))).alias("best")).select("above", "best.license")
+    licensed = own.where(F.col("own_license").isNotNull() & (F.col("dir") != "") & is_licence_file(F.col("path")))
+    licensed = licensed.groupBy(F.col("dir").alias("above")).agg(F.min(F.struct((-F.col("own_score")).alias("s"), "path", "doc_id", F.col("own_license").alias("license"))).alias("best")).select("above", "best.license")
     parts = F.split("dir", "/")
     upward = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.struct(i.alias("depth"), F.array_join(F.slice(parts, 1, i), "/").alias("above")))
     below = own.where("dir <> ''").select("dir").distinct().select("dir", F.inline(upward))
@@ -153,40 +178,47 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nearest = stash(nearest.select("dir", F.col("from.above").alias("from_dir"), F.col("from.license").alias("from_license")), "nearest")
     out = own.join(nearest, "dir", "left")
     none = F.col("own_license").isNull()
-    return out.select("doc_id", "path", "own_license", "own_score", "own_line", F.coalesce("own_license", "from_license").alias("license"), F.when(none, F.col("from_dir")).alias("inherited_from"))
+    return out.select("doc_id", "path", "own_license", "own_score", "own_at", F.coalesce("own_license", "from_license").alias("license"), F.when(none, F.col("from_dir")).alias("inherited_from"))
 
 
-#: The tables have no paths. The query lays documents out as source/lang/64 of them, the first of each 64 as LICENSE.
-FILES_SQL = "concat(coalesce(source, '_'), '/', coalesce(lang, '_'), '/', cast({div} AS {text}), '/', CASE WHEN doc_id % 64 = 0 THEN 'LICENSE' ELSE concat(cast(doc_id AS {text}), '.txt') END)"
+#: The tables have no paths. The query lays documents out under source/lang: a third right there, the others two levels below, 4096 and 64 ids to a directory. Of each 8 documents one is the LICENSE of its directory, one lies as COPYING a level above the lowest and one as NOTICE in source/lang.
+FILES_SQL = """concat(coalesce(source, '_'), '/', coalesce(lang, '_'),
+  CASE WHEN doc_id % 8 = 5 OR doc_id % 3 = 1 THEN '' WHEN doc_id % 8 = 3 THEN concat('/', cast({div4096} AS {text})) ELSE concat('/', cast({div4096} AS {text}), '/', cast({div64} AS {text})) END,
+  CASE doc_id % 8 WHEN 0 THEN '/LICENSE' WHEN 3 THEN '/COPYING' WHEN 5 THEN '/NOTICE' ELSE concat('/', cast(doc_id AS {text}), '.txt') END)"""
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return scan(docs.select("doc_id", F.expr(FILES_SQL.format(div="doc_id div 64", text="string")).alias("path"), "text"))
+    return scan(docs.select("doc_id", F.expr(FILES_SQL.format(div64="doc_id div 64", div4096="doc_id div 4096", text="string")).alias("path"), "text"))
 
 
 def _oracle() -> str:
-    templates = ", ".join(f"({i}, '{name}', '{t}', {n})" for i, (name, c) in enumerate(template_counts()) for t, n in sorted(c.items()))
+    counts = ", ".join(f"({i}, '{name}', '{t}', {n})" for i, (name, c) in enumerate(template_counts()) for t, n in sorted(c.items()))
+    places = ", ".join(f"({i}, '{t}', {k}, {len(x)})" for i, x in enumerate(template_terms()) for k, t in enumerate(x))
     return f"""
-WITH template(id, name, t, n) AS (VALUES {templates}),
-files AS (SELECT doc_id, {FILES_SQL.format(div="doc_id // 64", text="varchar")} AS path, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS text FROM documents),
-filed AS (SELECT *, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir, regexp_matches(regexp_extract(path, '[^/]*$'), '{LICENCE_FILE}') AS is_licence FROM files),
+WITH template(id, name, t, n) AS (VALUES {counts}),
+place(id, t, k, size) AS (VALUES {places}),
+files AS (SELECT DISTINCT doc_id, {FILES_SQL.format(div64="doc_id // 64", div4096="doc_id // 4096", text="varchar")} AS path, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS text FROM documents),
+filed AS (SELECT doc_id, path, regexp_extract_all(text, '{TERM}') AS terms, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir, regexp_matches(regexp_extract(path, '[^/]*$'), '{LICENCE_FILE}') AS is_licence FROM files),
 total AS (SELECT count(*) AS n_docs FROM files),
-seen AS (SELECT DISTINCT doc_id, path, unnest(regexp_extract_all(text, '{TERM}')) AS t FROM files),
-weight AS (SELECT v.t, ln((1.0 + max(n_docs)) / (1 + count(s.t))) + 1 AS w FROM (SELECT DISTINCT t FROM template) v CROSS JOIN total LEFT JOIN seen s ON s.t = v.t GROUP BY v.t),
+seq AS (SELECT doc_id, path, is_licence, i - 1 AS i, terms[i] AS t FROM (SELECT doc_id, path, is_licence, terms, unnest(range(1, len(terms) + 1)) AS i FROM filed)),
+weight AS (SELECT v.t, ln((1.0 + max(n_docs)) / (1 + count(DISTINCT (s.doc_id, s.path)))) + 1 AS w FROM (SELECT DISTINCT t FROM template) v CROSS JOIN total LEFT JOIN seq s ON s.t = v.t GROUP BY v.t),
 tnorm AS (SELECT id, sqrt(sum((n * w) ** 2)) AS norm FROM template JOIN weight USING (t) GROUP BY id),
-passage AS (SELECT doc_id, path, i - 1 AS line, lines[i] AS text FROM (SELECT doc_id, path, lines, unnest(range(1, len(lines) + 1)) AS i FROM (SELECT doc_id, path, string_split(text, chr(10)) AS lines FROM filed))
-  UNION ALL SELECT doc_id, path, -1, text FROM filed WHERE is_licence),
-counted AS (SELECT doc_id, path, line, t, count(*) AS n FROM (SELECT doc_id, path, line, unnest(regexp_extract_all(text, '{TERM}')) AS t FROM passage) GROUP BY ALL),
+vector AS (SELECT id, name, t, n * w / norm AS v FROM template JOIN weight USING (t) JOIN tnorm USING (id)),
+anchor AS (SELECT id, t FROM (SELECT id, t, 1 - coalesce(sum(v * v) OVER (PARTITION BY id ORDER BY v DESC, t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remaining FROM vector) WHERE remaining >= {THRESHOLD} ** 2 - 1e-9),
+passage AS (SELECT DISTINCT doc_id, path, greatest(i - k, 0) AS start, size FROM seq JOIN place USING (t) JOIN anchor USING (id, t)),
+cell AS (SELECT s.doc_id, s.path, start, size, s.t FROM passage p JOIN seq s ON s.doc_id = p.doc_id AND s.path = p.path AND s.i BETWEEN p.start AND p.start + p.size - 1
+  UNION ALL SELECT doc_id, path, -1, 0, t FROM seq WHERE is_licence),
+counted AS (SELECT doc_id, path, start, size, t, count(*) AS n FROM cell GROUP BY ALL),
 weighed AS (SELECT c.*, n * coalesce(w, ln(1.0 + n_docs) + 1) AS tw FROM counted c CROSS JOIN total LEFT JOIN weight USING (t)),
-pnorm AS (SELECT doc_id, path, line, sqrt(sum(tw * tw)) AS norm FROM weighed GROUP BY ALL),
-liked AS (SELECT p.doc_id, p.path, p.line, m.id, any_value(m.name) AS name, round(sum(p.tw * m.n * weight.w) / any_value(tnorm.norm) / any_value(pnorm.norm), 6) AS score
-  FROM weighed p JOIN template m ON m.t = p.t JOIN weight ON weight.t = p.t JOIN tnorm ON tnorm.id = m.id JOIN pnorm ON pnorm.doc_id = p.doc_id AND pnorm.path = p.path AND pnorm.line = p.line GROUP BY p.doc_id, p.path, p.line, m.id),
-best AS (SELECT * FROM liked WHERE score >= {THRESHOLD} QUALIFY row_number() OVER (PARTITION BY doc_id, path ORDER BY score DESC, line, id) = 1),
-own AS (SELECT DISTINCT f.doc_id, f.path, f.dir, f.is_licence, b.name AS own_license, b.score AS own_score, b.line AS own_line FROM filed f LEFT JOIN best b ON b.doc_id = f.doc_id AND b.path = f.path),
-licensed AS (SELECT dir AS above, own_license AS from_license FROM own WHERE own_license IS NOT NULL AND is_licence AND dir <> '' QUALIFY row_number() OVER (PARTITION BY dir ORDER BY own_score DESC, path) = 1),
+pnorm AS (SELECT doc_id, path, start, size, sqrt(sum(tw * tw)) AS norm FROM weighed GROUP BY ALL),
+liked AS (SELECT w.doc_id, w.path, w.start, w.size, v.id, any_value(v.name) AS name, round(sum(w.tw * v.v) / any_value(p.norm), 6) AS score
+  FROM weighed w JOIN vector v ON v.t = w.t JOIN pnorm p ON p.doc_id = w.doc_id AND p.path = w.path AND p.start = w.start AND p.size = w.size GROUP BY w.doc_id, w.path, w.start, w.size, v.id),
+best AS (SELECT * FROM liked WHERE score >= {THRESHOLD} QUALIFY row_number() OVER (PARTITION BY doc_id, path ORDER BY score DESC, start, size, id) = 1),
+own AS (SELECT DISTINCT f.doc_id, f.path, f.dir, f.is_licence, b.name AS own_license, b.score AS own_score, b.start AS own_at FROM filed f LEFT JOIN best b ON b.doc_id = f.doc_id AND b.path = f.path),
+licensed AS (SELECT dir AS above, own_license AS from_license FROM own WHERE own_license IS NOT NULL AND is_licence AND dir <> '' QUALIFY row_number() OVER (PARTITION BY dir ORDER BY own_score DESC, path, doc_id) = 1),
 nearest AS (SELECT d.dir, l.above, l.from_license FROM (SELECT DISTINCT dir FROM own) d JOIN licensed l ON d.dir = l.above OR starts_with(d.dir, l.above || '/') QUALIFY row_number() OVER (PARTITION BY d.dir ORDER BY length(l.above) DESC) = 1)
-SELECT doc_id, path, own_license, own_score, cast(own_line AS integer) AS own_line, coalesce(own_license, from_license) AS license, CASE WHEN own_license IS NULL THEN above END AS inherited_from
+SELECT doc_id, path, own_license, own_score, cast(own_at AS integer) AS own_at, coalesce(own_license, from_license) AS license, CASE WHEN own_license IS NULL THEN above END AS inherited_from
 FROM own LEFT JOIN nearest USING (dir)
 """
 
