@@ -55,7 +55,7 @@ class Index:
 
 
 def fit(v: np.ndarray, total: int, top: float, k: int = 20, recall: float = 0.96, seed: int = 42, rounds: int = 12) -> Index:
-    """An index from a sample of vectors of a table of `total`."""
+    """An index from a sample of vectors of a table of `total`; of less than 1000 it has one list, and a search reads all."""
     draw = np.random.default_rng(seed)
     d = v.shape[1] + 1
     turn = np.linalg.qr(draw.normal(size=(d, d)))[0]
@@ -164,17 +164,10 @@ def search(vectors: DataFrame, ask, k: int = 20, recall: float = 0.96, sample: i
     listed = stash(map_arrow(good, assign, "list int, vec_id long, v array<double>"), "listed")
     asking = stash(good.where(ask).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("q")), "asking")
     probes = stash(map_arrow(asking.select("query_id", F.col("q").alias("v")), probe, "list int, nth int, query_id long"), "probes")
-    # Lists are cut into parts, and so are the queries to a list; both sides of a task are bounded whatever shares a list.
-    parts = {r["list"]: -(-r["n"] // SIDE) for r in listed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
-    turns = {r["list"]: -(-r["n"] // SIDE) for r in probes.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
-    cuts = F.broadcast(spark.createDataFrame([(i, n, turns[i]) for i, n in parts.items() if i in turns], "list int, parts int, turns int"))
 
     def upto(n):
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    left = listed.join(cuts, "list").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
-    left = left.select("list", "part", upto("turns").alias("turn"), "vec_id", "v")
-
     def meet(key, mine, theirs):
         if not mine.num_rows or not theirs.num_rows:
             found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
@@ -182,7 +175,17 @@ def search(vectors: DataFrame, ask, k: int = 20, recall: float = 0.96, sample: i
             found = scan(index, mine["vec_id"].to_numpy(), _matrix(mine["v"], d), theirs["query_id"].to_numpy(), _matrix(theirs["q"], d), theirs["bound"].to_numpy(), k)
         return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, found), strict=True)))
 
-    def answers(probed: DataFrame, bounded: DataFrame) -> DataFrame:
+    def sizes_of(rows: DataFrame) -> dict[int, int]:
+        return {r["list"]: -(-r["n"] // SIDE) for r in rows.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    parts = sizes_of(listed)
+
+    def answers(probed: DataFrame, bounded: DataFrame, all_probes: DataFrame) -> DataFrame:
+        """What queries find in the lists that they probe. Lists are cut into parts, and so are the queries to a list; both sides of a task are bounded whatever shares a list."""
+        turns = sizes_of(all_probes)
+        cuts = F.broadcast(spark.createDataFrame([(i, n, turns[i]) for i, n in parts.items() if i in turns], "list int, parts int, turns int"))
+        left = listed.join(cuts, "list").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
+        left = left.select("list", "part", upto("turns").alias("turn"), "vec_id", "v")
         right = probed.join(cuts, "list").withColumn("turn", F.pmod(F.xxhash64("query_id"), F.col("turns")).cast("int"))
         right = right.select("list", upto("parts").alias("part"), "turn", "query_id").join(bounded, "query_id")
         by = ["list", "part", "turn"]
@@ -194,10 +197,20 @@ def search(vectors: DataFrame, ask, k: int = 20, recall: float = 0.96, sample: i
         return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
     early = max(1, index.probes // 8)
-    near = stash(first(answers(probes.where(F.col("nth") < early), asking.withColumn("bound", F.lit(float("-inf"))))), "near")
+    near = stash(first(answers(probes.where(F.col("nth") < early), asking.withColumn("bound", F.lit(float("-inf"))), probes)), "near")
     bound = near.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(float("-inf")).alias("bound"))
-    rest = answers(probes.where(F.col("nth") >= early), asking.join(bound, "query_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf")))))
-    return first(near.drop("rank").union(rest)).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    rest = answers(probes.where(F.col("nth") >= early), asking.join(bound, "query_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf")))), probes)
+    found = first(near.drop("rank").union(rest))
+    if index.probes < len(index.centres):
+        # Queries that found too few read all lists.
+        found = stash(found, "found")
+        short = asking.join(found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")), "query_id", "left").where(F.coalesce("n", F.lit(0)) < min(k, total - 1)).select("query_id", "q")
+        short = stash(short.withColumn("bound", F.lit(float("-inf"))), "short")
+        if not short.isEmpty():
+            everywhere = short.select(F.explode(F.sequence(F.lit(0), F.lit(len(index.centres) - 1))).alias("list"), "query_id")
+            again = first(answers(everywhere, short, everywhere))
+            found = found.join(short.select("query_id"), "query_id", "left_anti").unionByName(again)
+    return found.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
 def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
