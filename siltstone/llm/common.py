@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -51,12 +52,23 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return back
 
 
+def open_fs(uri: str):
+    """Arrow's file system for a URI of the shared folder, and the path there; s3a and s3n are s3 to Arrow."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def forget(df: DataFrame) -> None:
     """Deletes a stashed table that nothing reads any more."""
-    spark, path = df.sparkSession, getattr(df, "_stash_path", None)
-    if path:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where.getParent(), True)
+    if path := getattr(df, "_stash_path", None):
+        remove(df.sparkSession, path.rpartition("/")[0])
 
 
 def least_rows(docs: DataFrame, named: DataFrame, kept: DataFrame) -> DataFrame:
@@ -117,11 +129,6 @@ def texts_of(column: pa.Array) -> list[str]:
     return ["" if x is None else x for x in column.to_pylist()]
 
 
-def lower_words(text: str) -> list[bytes]:
-    """The words [^\\x20\\x09-\\x0D]+ of a text with A-Z lower-cased, as UTF-8. bytes.lower and bytes.split know ASCII alone, which is just what is asked for."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
-
-
 def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For nodes 0..n-1 with links a-b, the smallest node that each can reach."""
     label = np.arange(n)
@@ -173,12 +180,16 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-@functools.lru_cache(maxsize=4)
+#: Bytes that one round of word_hashes takes at most.
+ROUND = 1 << 19
+STEP = 0x9E3779B97F4A7C15
+
+
+@functools.lru_cache(maxsize=2)
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of an odd number and of its inverse, modulo 2**64."""
-    r = 0x9E3779B97F4A7C15
     both = []
-    for x in (r, pow(r, -1, 1 << 64)):
+    for x in (STEP, pow(STEP, -1, 1 << 64)):
         p = np.full(n, x, np.uint64)
         p[0] = 1
         both.append(np.cumprod(p, dtype=np.uint64))
@@ -202,32 +213,117 @@ def _spaces() -> np.ndarray:
 
 
 SPACE = _spaces()
-#: Bytes that one round of word_hashes takes at most, besides a single longer text.
-ROUND = 1 << 19
-
-
-def word_hashes(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """64-bit hashes of the words of lower-cased texts, some texts at a time.
-
-    Yields (index of the first text, texts' bounds in words, hashes, the joined
-    bytes, word starts, word ends). All bytes of a round are hashed at once:
-    prefix sums of byte * r**position give each word's polynomial.
+def word_sums(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomials in STEP, modulo 2**64, of some words of an array of codes, its prefix sums taken at once. At most 2 * ROUND + 2 codes."""
+    up, down = powers(2 * ROUND + 2)
+    total = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)], dtype=np.uint64, out=total[1:])
+    return (total[ends] - total[starts]) * down[starts]
+
+
+def _hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of some bytes, and where they start."""
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], SPACE[buf], [True])).view(np.int8)))
+    starts, ends = edge[::2], edge[1::2]
+    return mix(word_sums(buf, starts, ends) + (ends - starts).astype(np.uint64)), starts
+
+
+def _long_hashes(text: bytes) -> np.ndarray:
+    """Hashes of the words of one long text, by windows that end at white space; a word longer than a window is summed up window by window."""
+    found, buf, at = [], np.frombuffer(text, np.uint8), 0
+    while at < len(buf):
+        window = buf[at : at + ROUND]
+        blank = np.flatnonzero(SPACE[window])
+        if at + ROUND >= len(buf) or len(blank):
+            end = len(window) if at + ROUND >= len(buf) else int(blank[-1]) + 1
+            found.append(_hashes(window[:end])[0])
+            at += end
+            continue
+        total, n, step = 0, 0, 1
+        while at < len(buf) and not (blank := SPACE[window := buf[at : at + ROUND]])[0]:
+            size = int(blank.argmax()) if blank.any() else len(window)
+            total = total + step * int(word_sums(window, np.array([0]), np.array([size]))[0]) & (1 << 64) - 1
+            step = step * pow(STEP, size, 1 << 64) & (1 << 64) - 1
+            n, at = n + size, at + size
+        found.append(mix(np.array([total + n & (1 << 64) - 1], np.uint64)))
+    return np.concatenate([np.zeros(0, np.uint64), *found])
+
+
+def word_hashes(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """64-bit hashes of the words of lower-cased texts, some texts at a time: (index of the first text, texts' bounds in words, hashes).
+
+    All bytes of a round are hashed at once: prefix sums of byte * r**position
+    give each word's polynomial. A text longer than a round comes alone and is
+    read in windows, so that beside its hashes memory stays bounded.
     """
     i = 0
     while i < len(texts):
+        if len(texts[i]) >= ROUND:
+            h = _long_hashes(texts[i])
+            yield i, np.array([0, len(h)]), h
+            i += 1
+            continue
         j, size = i, 0
-        while j < len(texts) and (j == i or size + len(texts[j]) < ROUND):
+        while j < len(texts) and size + len(texts[j]) < ROUND:
             size += len(texts[j]) + 1
             j += 1
-        buf = np.frombuffer(b" ".join(texts[i:j]) + b" ", np.uint8)
-        blank = SPACE[buf]
-        edge = np.flatnonzero(np.diff(np.concatenate(([True], blank)).view(np.int8)))
-        starts, ends = edge[::2], edge[1::2]
-        n = 1 << max(ROUND + 1, len(buf) + 1).bit_length()
-        up, down = powers(n)
-        total = np.zeros(len(buf) + 1, np.uint64)
-        np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * up[: len(buf)], dtype=np.uint64, out=total[1:])
-        h = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+        h, starts = _hashes(np.frombuffer(b" ".join(texts[i:j]) + b" ", np.uint8))
         at = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts[i:j]])))
-        yield i, np.searchsorted(starts, at), h, buf, starts, ends
+        yield i, np.searchsorted(starts, at), h
         i = j
+
+
+def windows(text: str, size: int) -> Iterator[str]:
+    """A text in windows of at most `size` code points that end after white space; a word longer than that is cut."""
+    at = 0
+    while len(text) - at > size:
+        end = 1 + max(text.rfind(c, at, at + size) for c in " \t\n\v\f\r")
+        end = end if end > at else at + size
+        yield text[at:end]
+        at = end
+    yield text[at:] if at else text
+
+
+def lowered(texts: list[str]) -> list[bytes]:
+    """Texts as UTF-8 with A-Z lower-cased."""
+    return [t.encode("utf-8", "surrogatepass").lower() for t in texts]
+
+
+@functools.lru_cache(maxsize=8)
+def places(n: int) -> list[np.uint64]:
+    """n odd numbers, always the same."""
+    draw = np.random.default_rng(7).integers(1, 1 << 63, n, dtype=np.uint64)
+    return [np.uint64(2 * int(x) + 1 & (1 << 64) - 1) for x in draw]
+
+
+#: Words whose shingles are hashed at once.
+WORDS = 1 << 17
+
+
+def shingle_hashes(texts: list[bytes], shingle: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(index of the first text, hashes of word shingles, which text from the first on each is of) for some lower-cased texts, or a part of a long one, at a time.
+
+    Fewer words than a shingle are one shingle; a text without words has none.
+    """
+    for first, bounds, words in word_hashes(texts):
+        n = np.diff(bounds)
+        if len(n) == 1 and n[0] > WORDS:
+            for a in range(0, n[0] - shingle + 1, WORDS):
+                h = _shingles(np.array([0, min(WORDS + shingle - 1, n[0] - a)]), words[a : a + WORDS + shingle - 1], shingle)
+                yield first, h[0], h[1]
+        else:
+            yield first, *_shingles(bounds, words, shingle)
+
+
+def _shingles(bounds: np.ndarray, words: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    n = np.diff(bounds)
+    k = np.minimum(n, shingle)
+    doc = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(words)) - bounds[:-1][doc]
+    h = np.zeros(len(words), np.uint64)
+    for j, odd in enumerate(places(shingle)):
+        own = words[j:] * odd
+        own[at[: len(own)] + j >= n[doc[: len(own)]]] = 0
+        h[: len(own)] += own
+    own = at <= (n - k)[doc]
+    return mix(h[own] + k[doc[own]].astype(np.uint64)), doc[own]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import map_arrow, mix, table, texts_of, word_hashes
+from siltstone.llm.common import lowered, map_arrow, mix, shingle_hashes, table
 from siltstone.session import ship
 
 SHINGLE = 5
@@ -33,41 +33,22 @@ def probes(bins: int) -> np.ndarray:
     return np.stack([draw.permutation(bins) for _ in range(bins)]).astype(np.uint16)
 
 
-@functools.lru_cache(maxsize=8)
-def places(n: int) -> list[np.uint64]:
-    draw = np.random.default_rng(7).integers(1, 1 << 63, n, dtype=np.uint64)
-    return [np.uint64(2 * int(x) + 1 & (1 << 64) - 1) for x in draw]
-
-
 def sketches(texts: list[bytes], shingle: int = SHINGLE, bins: int = BINS, bits: int = BITS) -> np.ndarray:
     """Low-order bits of each text's bins, one byte each, of lower-cased texts. Fewer words than a shingle are one shingle; no words: all zero."""
-    out = np.zeros((len(texts), bins), np.uint8)
     high = np.uint64(64 - (bins - 1).bit_length())
     least = np.uint64((1 << int(high)) - 1)
     empty = np.uint64((1 << 64) - 1)
-    for first, bounds, words, *_ in word_hashes(texts):
-        n = np.diff(bounds)
-        k = np.minimum(n, shingle)
-        doc = np.repeat(np.arange(len(n)), n)
-        at = np.arange(len(words)) - bounds[:-1][doc]
-        h = np.zeros(len(words), np.uint64)
-        for j, odd in enumerate(places(shingle)):
-            own = words[j:] * odd
-            own[at[: len(own)] + j >= n[doc[: len(own)]]] = 0
-            h[: len(own)] += own
-        own = at <= (n - k)[doc]
-        h, doc = mix(h[own] + k[doc[own]].astype(np.uint64)), doc[own]
-        values = np.full(len(n) * bins, empty, np.uint64)
-        np.minimum.at(values, doc * bins + (h >> high).astype(np.int64), h & least)
-        values = values.reshape(-1, bins)
-        for i in np.flatnonzero(n):
+    values = np.full((len(texts), bins), empty, np.uint64)
+    for first, h, doc in shingle_hashes(texts, shingle):
+        np.minimum.at(values.reshape(-1), (first + doc) * bins + (h >> high).astype(np.int64), h & least)
+    some = (values != empty).any(axis=1)
+    for i in np.flatnonzero(some):
+        blank = np.flatnonzero(values[i] == empty)
+        if len(blank):
             filled = np.flatnonzero(values[i] != empty)
-            if len(filled) < bins:
-                blank = np.flatnonzero(values[i] == empty)
-                values[i, blank] = values[i, filled[probes(bins)[np.ix_(blank, filled)].argmin(axis=1)]]
-        got = (mix(values) & np.uint64((1 << bits) - 1)).astype(np.uint8)
-        got[n == 0] = 0
-        out[first : first + len(n)] = got
+            values[i, blank] = values[i, filled[probes(bins)[np.ix_(blank, filled)].argmin(axis=1)]]
+    out = (mix(values) & np.uint64((1 << bits) - 1)).astype(np.uint8)
+    out[~some] = 0
     return out
 
 
@@ -136,7 +117,7 @@ def fingerprint_pairs(docs: DataFrame) -> DataFrame:
             ids, texts, ranges, flags = b["doc_id"].to_pylist(), b["text"].to_pylist(), b["range"].to_pylist(), b["ahead"].to_pylist()
             for i in range(0, len(ids), 512):
                 rows = list(zip(ids[i : i + 512], texts[i : i + 512], ranges[i : i + 512], flags[i : i + 512], strict=True))
-                found = sketches([t.encode("utf-8", "surrogatepass").lower() for _, t, *_ in rows])
+                found = sketches(lowered([t for _, t, *_ in rows]))
                 if held:
                     rows, found = [held[0], *rows], np.concatenate([held[1], found])
                 pairs = [k for k in range(len(rows) - 1) if not rows[k][3] and rows[k][2] == rows[k + 1][2]]

@@ -15,9 +15,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-from siltstone.llm.common import AT_END
+from siltstone.llm.common import AT_END, windows
 
 VOCABULARY = "word_bpe_49k.json"
+#: Code points that are encoded at once.
+WINDOW = 1 << 22
 
 
 def default_path() -> str:
@@ -35,7 +37,7 @@ class Encoder:
     whole, as those are looked for before lower-casing.
     """
 
-    def __init__(self, path: str, capacity: int = 250_000, kept: int = 80_000):
+    def __init__(self, path: str, capacity: int = 400_000, kept: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to other tasks
         from tokenizers import Tokenizer
 
@@ -89,32 +91,43 @@ class Encoder:
             known[piece] = known[piece[:n]] + known[piece[n:]]
 
     def encode(self, texts: list[str], end: int | None = None) -> Iterator[bytes]:
-        """Each text's ids as bytes, with the id end after them if given."""
+        """Each text's ids as bytes, with the id end after them if given. Long texts are encoded in windows that end at white space, unless one word fills a window."""
         tail, at = b"" if end is None else end.to_bytes(4, "little"), 0
         while at < len(texts):
-            upto, size, split = at, 0, []
-            while upto < len(texts) and (upto == at or size < 1 << 22):
-                data = texts[upto].encode()
-                low = data.lower()
-                if any(t in low for t in self.added):
-                    split.append(None)
-                else:
-                    split.append((low if self.lowers else data).split())
-                size += len(data)
+            if len(texts[at]) > WINDOW:
+                parts = list(windows(texts[at], WINDOW))
+                apart = all(p[-1] in " \t\n\v\f\r" for p in parts[:-1])
+                yield b"".join(x for p in parts for x in self._some([p])) + tail if apart else next(self._some(texts[at : at + 1])) + tail
+                at += 1
+                continue
+            upto, size = at, 0
+            while upto < len(texts) and len(texts[upto]) <= WINDOW and (upto == at or size < WINDOW):
+                size += len(texts[upto])
                 upto += 1
-            every = set().union(*filter(None, split))
-            if len(self.again) < self.kept:
-                self.again |= self.known.keys() & every
-            self.learn(every.difference(self.known))
-            for text, words in zip(texts[at:upto], split, strict=True):
-                if words is None:
-                    yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + tail
-                else:
-                    yield b"".join(map(self.known.__getitem__, words)) + tail
-            if len(self.known) > self.capacity:
-                self.shrink()
+            for ids in self._some(texts[at:upto]):
+                yield ids + tail
             at = upto
 
+    def _some(self, texts: list[str]) -> Iterator[bytes]:
+        split: list[list[bytes] | None] = []
+        for text in texts:
+            data = text.encode()
+            low = data.lower()
+            if any(t in low for t in self.added):
+                split.append(None)
+            else:
+                split.append((low if self.lowers else data).split())
+        every = set().union(*filter(None, split))
+        if len(self.again) < self.kept:
+            self.again |= self.known.keys() & every
+        self.learn(every.difference(self.known))
+        for text, words in zip(texts, split, strict=True):
+            if words is None:
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            else:
+                yield b"".join(map(self.known.__getitem__, words))
+        if len(self.known) > self.capacity:
+            self.shrink()
 
     def shrink(self) -> None:
         """Forgets all pieces but those that several batches had."""
