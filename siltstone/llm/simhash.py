@@ -21,25 +21,48 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import components, forget, least_rows, local_components, lower_words, map_arrow, stash, table, texts_of
+from siltstone.llm.common import SPACE, components, forget, least_rows, local_components, map_arrow, stash, table, texts_of, windows
 
 SEED = 42
 
 
+#: Code points whose shingles are hashed at once.
+WINDOW = 1 << 19
+
+
 def fingerprint(text: str, shingle: int = 4) -> int:
     """64-bit SimHash over word shingles: a bit is 1 if over half the shingles' XXH64 have it. No words: 0; fewer words than a shingle: the whole sequence is one."""
-    words = lower_words(text)
-    if not words:
-        return 0
+    ones, n, words, open_ = np.zeros(64, np.int64), 0, [], False
+    for window in windows(text, WINDOW):
+        data = window.encode("utf-8", "surrogatepass").lower()
+        if open_:  # the last word goes on
+            data = words.pop() + data
+        words += data.split()
+        open_ = len(text) > WINDOW and bool(words) and not SPACE[data[-1]]
+        if len(text) > WINDOW and len(words) > shingle:
+            h = _shingles(words, shingle)[:-1]
+            ones, n, words = ones + _ones(h), n + len(h), words[len(h) :]
+    if words:
+        h = _shingles(words, shingle)
+        ones, n = ones + _ones(h), n + len(h)
+    return sum(1 << b for b in range(64) if 2 * int(ones[b]) > n)
+
+
+def _shingles(words: list[bytes], shingle: int) -> np.ndarray:
+    """XXH64 of each shingle, or of the whole sequence if it is shorter."""
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     joined, k = b" ".join(words), min(shingle, len(words))
     starts = np.concatenate(([0], ends[:-1] + 1))
     digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)), np.uint64, len(words) - k + 1)
-    ones = np.zeros(64, np.int64)
+    return np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)), np.uint64, len(words) - k + 1)
+
+
+def _ones(h: np.ndarray) -> np.ndarray:
+    """How many hashes have each bit."""
+    out = np.zeros(64, np.int64)
     for i in range(0, len(h), 1 << 16):
-        ones += np.unpackbits(h[i : i + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return sum(1 << b for b in range(64) if 2 * int(ones[b]) > len(h))
+        out += np.unpackbits(h[i : i + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return out
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -78,16 +101,20 @@ class Ball:
         """A spanning forest of the links that the variants of one bucket show: (fingerprint, the smallest of its tree)."""
         fps = np.unique(fps)
         differ = self.home(fps) ^ bucket
-        variants, owners = [], []
+        variants, owners, flips = [], [], []
         for x in np.unique(differ):
             own = np.flatnonzero(differ == x)
             masks = self.masks[int(x)]
             variants.append((fps[own][:, None] ^ masks[None, :]).ravel())
             owners.append(np.repeat(own, len(masks)))
+            flips.append(np.tile(np.bitwise_count(masks), len(own)))
         variants, owners = np.concatenate(variants), np.concatenate(owners)
-        order = np.argsort(variants)
-        same = np.flatnonzero(np.diff(variants[order]) == 0)
-        a, b = owners[order[same]], owners[order[same + 1]]
+        # All that share a variant are compared with the one that is nearest to it. If that is nearer than the radius, all are linked to it; if not, those of an odd `within` that are to be linked share another variant, too.
+        order = np.lexsort((np.concatenate(flips), variants))
+        variants, owners = variants[order], owners[order]
+        new = np.concatenate(([True], variants[1:] != variants[:-1]))
+        first = np.maximum.accumulate(np.where(new, np.arange(len(owners)), 0))
+        a, b = owners[first[~new]], owners[~new]
         pairs = np.unique(np.minimum(a, b) * len(fps) + np.maximum(a, b))
         a, b = pairs // len(fps), pairs % len(fps)
         near = np.bitwise_count(fps[a] ^ fps[b]) <= within
@@ -103,7 +130,7 @@ def near_links(fps: DataFrame, count: int, within: int = 4, variants_per_bucket:
     task's variants fit in memory at any size.
     """
     radius = (within + 1) // 2
-    k = min(24, max(6, math.ceil(math.log2(max(1, count * sum(math.comb(64, r) for r in range(radius + 1)) / variants_per_bucket)))))
+    k = max(6, math.ceil(math.log2(max(1, count * sum(math.comb(64, r) for r in range(radius + 1)) / variants_per_bucket))))
     ball = Ball(k, radius)
     reach = np.array(sorted(ball.masks), np.int64)
 
