@@ -18,62 +18,76 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import crc_mod, map_arrow, mix, powers, table, texts_of
+from siltstone.llm.common import crc_mod, map_arrow, mix, places, table, texts_of, windows, word_sums
 from siltstone.llm.labelled import logistic, sample
-from siltstone.llm.oph import places
 
 BUCKET_BITS = 18
 GRAMS = (3, 4, 5)
-#: The row of a word that repeats the one before it, whatever the word is.
-REPEAT = 0
 DIM = 12
+EPOCHS = 4
 PER_CLASS = 1500
+#: The token that a word is besides, if it is the same as the one before it.
+SAME = np.uint64(0x3D)
 #: Code points of a round of features().
 ROUND = 1 << 18
 
 
-def features(texts: list[str], bits: int = BUCKET_BITS) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For some texts at a time: (index of the first, rows of all their features, which text each belongs to).
+def pieces(texts: list[str]) -> Iterator[tuple[int, str]]:
+    """Texts and their numbers; long ones in windows of a round. A word longer than a round counts as several."""
+    for i, text in enumerate(texts):
+        for window in windows(text, ROUND):
+            yield i, window
 
-    One feature for each word [^\\x20\\x09-\\x0D]+, one for each of its n-grams
-    of GRAMS code points, a blank before and after it included, and one, the
-    word pair's, for each word that is the same as the one before it.
+
+def features(texts: list[str], bits: int = BUCKET_BITS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For some texts, or a part of a long one, at a time: rows of all their features, and which text each belongs to.
+
+    One feature for each word [^\\x20\\x09-\\x0D]+, one for each of its
+    n-grams of GRAMS code points, a blank before and after it included, and
+    the token SAME for each word that is the same as the one before it.
     """
+    held: list[tuple[int, str]] = []
+    size, last = 0, (-1, 0)
+    for piece in pieces(texts):
+        if held and size + len(piece[1]) > ROUND:
+            rows, owners, last = _features(held, bits, last)
+            yield rows, owners
+            held, size = [], 0
+        held.append(piece)
+        size += len(piece[1]) + 2
+    if held:
+        yield _features(held, bits, last)[:2]
+
+
+def _features(held: list[tuple[int, str]], bits: int, last: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, tuple[int, int]]:
+    """last: text and hash of the word before, if it is of the same text; the same for the next is given."""
     shift = np.uint64(64 - bits)
-    i = 0
-    while i < len(texts):
-        j, size = i, 0
-        while j < len(texts) and (j == i or size + len(texts[j]) < ROUND):
-            size += len(texts[j]) + 2
-            j += 1
-        text = " " + "  ".join(texts[i:j]) + " "
-        cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-        blank = (cp == 32) | (cp >= 9) & (cp <= 13)
-        cp = np.where(blank, 32, cp).astype(np.uint64)
-        doc = np.repeat(np.arange(i, j), [len(t) + 2 for t in texts[i:j]])
-        edge = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True])).view(np.int8)))
-        starts, ends = edge[::2], edge[1::2]
-        up, down = powers(1 << max(len(cp) + 1, 2 * ROUND).bit_length())
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((cp + np.uint64(1)) * up[: len(cp)], dtype=np.uint64)))
-        words = mix((total[ends] - total[starts]) * down[starts] + np.uint64(1))
-        again = np.flatnonzero((words[1:] == words[:-1]) & (doc[starts[1:]] == doc[starts[:-1]]))
-        rows = [(words >> shift).astype(np.int32), np.full(len(again), REPEAT, np.int32)]
-        owners = [doc[starts], doc[starts[again]]]
-        odd = places(max(GRAMS) + 1)
-        blanks = np.concatenate(([0], np.cumsum(blank)))
-        h = np.zeros(len(cp), np.uint64)
-        for k in range(max(GRAMS)):
-            n = len(cp) - k
-            if n <= 0:
-                break
-            h = h[:n] + cp[k:] * odd[k]
-            if k + 1 in GRAMS:
-                inside = blanks[k : k + n] - blanks[1 : n + 1] == 0 if k > 1 else ~blank[1 : n + 1]
-                at = np.flatnonzero(inside)
-                rows.append(((h[at] + np.uint64(k)) * odd[-1] >> shift).astype(np.int32))
-                owners.append(doc[at])
-        yield i, np.concatenate(rows), np.concatenate(owners)
-        i = j
+    text = " " + "  ".join(t for _, t in held) + " "
+    cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    blank = (cp == 32) | (cp >= 9) & (cp <= 13)
+    cp = np.where(blank, 32, cp).astype(np.uint64)
+    doc = np.repeat([i for i, _ in held], [len(t) + 2 for _, t in held])
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True])).view(np.int8)))
+    starts, ends = edge[::2], edge[1::2]
+    words = mix(word_sums(cp, starts, ends) + np.uint64(1))
+    of = doc[starts]
+    again = np.flatnonzero((words == np.append(np.uint64(last[1]), words[:-1])) & (of == np.append(last[0], of[:-1])))
+    same = np.full(len(again), int(mix(np.array([SAME]))[0] >> shift), np.int32)
+    rows, owners = [(words >> shift).astype(np.int32), same], [of, of[again]]
+    odd = places(max(GRAMS) + 1)
+    blanks = np.concatenate(([0], np.cumsum(blank)))
+    h = np.zeros(len(cp), np.uint64)
+    for k in range(max(GRAMS)):
+        n = len(cp) - k
+        if n <= 0:
+            break
+        h = h[:n] + cp[k:] * odd[k]
+        if k + 1 in GRAMS:
+            inside = blanks[k : k + n] - blanks[1 : n + 1] == 0 if k > 1 else ~blank[1 : n + 1]
+            at = np.flatnonzero(inside)
+            rows.append(((h[at] + np.uint64(k)) * odd[-1] >> shift).astype(np.int32))
+            owners.append(doc[at])
+    return np.concatenate(rows), np.concatenate(owners), (int(of[-1]), int(words[-1])) if len(of) else last
 
 
 @dataclasses.dataclass
@@ -90,7 +104,7 @@ class Model:
         """Log-odds of class 1; texts without words have the bias alone."""
         total, n = np.zeros(len(texts)), np.zeros(len(texts))
         bits = len(self.values).bit_length() - 1
-        for _, rows, owners in features(texts, bits):
+        for rows, owners in features(texts, bits):
             low, high = int(owners.min(initial=0)), int(owners.max(initial=-1)) + 1
             if high > low:
                 total[low:high] += np.bincount(owners - low, self.values[rows], high - low)
@@ -103,28 +117,36 @@ class Model:
         return np.where(empty, self.prior, p)
 
 
-Bags = list[tuple[np.ndarray, np.ndarray]]
+@dataclasses.dataclass
+class Bags:
+    """Texts as their distinct rows, one text after another, and what share of the text's features each is; starts: where texts begin, and the end."""
+
+    rows: np.ndarray
+    shares: np.ndarray
+    starts: np.ndarray
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        own = slice(self.starts[i], self.starts[i + 1])
+        return self.rows[own], self.shares[own]
 
 
 def bags_of(texts: list[str], bits: int = BUCKET_BITS) -> Bags:
-    """Each text's distinct rows, and what share of its features each is."""
-    bags: Bags = [(np.zeros(0, np.int32), np.zeros(0, np.float32))] * len(texts)
-    for _, rows, owners in features(texts, bits):
-        order = np.argsort(owners, kind="stable")
-        rows, owners = rows[order], owners[order]
-        cut = np.flatnonzero(np.diff(owners)) + 1
-        for own, i in zip(np.split(rows, cut), owners[np.concatenate(([0], cut))] if len(owners) else [], strict=False):
-            name, n = np.unique(own, return_counts=True)
-            bags[i] = name, (n / len(own)).astype(np.float32)
-    return bags
-
-
-def train(bags: Bags, y: np.ndarray, bits: int = BUCKET_BITS, dim: int = DIM, epochs: int = 8, rate: float = 0.5, seed: int = 42) -> Model:
-    """Stochastic gradient descent, one text a step, the rate falling to zero. Classes take turns, so both weigh alike."""
+    found = [np.unique((owners << bits) + rows, return_counts=True) for rows, owners in features(texts, bits)]
+    code = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in found)])
+    n = np.concatenate([np.zeros(0, np.int64), *(x for _, x in found)])
+    names, at = np.unique(code, return_inverse=True)  # a long text's parts fall together
+    n = np.bincount(at, n, len(names))
+    owner = names >> bits
+    total = np.bincount(owner, n, len(texts))
+    return Bags((names & (1 << bits) - 1).astype(np.int32), (n / total[owner]).astype(np.float32), np.searchsorted(owner, np.arange(len(texts) + 1)))
+
+
+def train(bags: Bags, y: np.ndarray, use: np.ndarray, bits: int = BUCKET_BITS, dim: int = DIM, epochs: int = EPOCHS, rate: float = 0.5, seed: int = 42) -> Model:
+    """Stochastic gradient descent on the texts in use, one text a step, the rate falling to zero. Classes take turns, so both weigh alike."""
     draw = np.random.default_rng(seed)
     table_ = draw.uniform(-1 / dim, 1 / dim, (1 << bits, dim)).astype(np.float32)
     out, bias = np.zeros((2, dim), np.float32), np.zeros(2, np.float32)
-    classes = [np.flatnonzero(y == k) for k in (0, 1)]
+    classes = [np.flatnonzero(use & (y == k)) for k in (0, 1)]
     n = max(map(len, classes))
     steps, done = epochs * 2 * n, 0
     for _ in range(epochs):
@@ -132,37 +154,53 @@ def train(bags: Bags, y: np.ndarray, bits: int = BUCKET_BITS, dim: int = DIM, ep
         for i in turns.tolist():
             step = rate * (1 - done / steps)
             done += 1
-            name, share = bags[i]
-            if not len(name):
+            rows, share = bags[i]
+            if not len(rows):
                 continue
-            hidden = share @ table_[name]
+            own = table_[rows]
+            hidden = share @ own
             z = out @ hidden + bias
             z = np.exp(z - z.max())
             g = z / z.sum()
             g[y[i]] -= 1
-            back = g @ out
+            own -= np.outer(np.float32(step * np.sqrt(len(rows))) * share, g @ out)
+            table_[rows] = own
             out -= step * np.outer(g, hidden)
             bias -= step * g
-            table_[name] -= (step * np.sqrt(len(name)) * share)[:, None] * back
     return Model(table_ @ (out[1] - out[0]), float(bias[1] - bias[0]))
 
 
-def fit(texts: list[str], y: np.ndarray, weight: np.ndarray, folds: int = 3, bits: int = BUCKET_BITS, **options) -> Model:
-    """A trained model whose scores are calibrated by a logistic fit to what models of the other folds say. Without texts of both classes every score is nearly the label that there is, or the middle."""
+def fit(spark: SparkSession, texts: list[str], y: np.ndarray, weight: np.ndarray, folds: int = 3, bits: int = BUCKET_BITS, **options) -> Model:
+    """A trained model whose scores are calibrated by a logistic fit to what models of the other folds say. Without texts of both classes every score is nearly the label that there is, or the middle.
+
+    The model and those of the folds learn at the same time, a task each.
+    """
     if not len(texts) or y.min() == y.max():
         share = float(y[0]) * 0.998 + 0.001 if len(y) else 0.5
         return Model(np.zeros(2, np.float32), slope=0.0, intercept=float(np.log(share / (1 - share))), prior=share)
-    bags = bags_of(texts, bits)
-    model = train(bags, y, bits, **options)
     fold = np.empty(len(y), np.int64)
     for k in (0, 1):
         fold[y == k] = np.arange((y == k).sum()) % folds
+    # A fold of one class, or whose others are of one class, says nothing of new texts.
+    able = [f for f in range(folds) if (fold == f).any() and len(set(y[fold != f].tolist())) == 2]
+
+    def work(batches):
+        for b in batches:
+            for f in b["fold"].to_pylist():
+                bags = bags_of(texts, bits)
+                model = train(bags, y, fold != f, bits, **options)
+                own = np.flatnonzero(fold == f)
+                odds = np.array([share @ model.values[rows] + model.bias for rows, share in map(bags.__getitem__, own.tolist())])
+                values = model.values.astype(np.float32).tobytes() if f < 0 else b""
+                yield {"fold": pa.array([f], pa.int64()), "values": pa.array([values], pa.binary()), "bias": pa.array([model.bias]), "odds": pa.array([odds.tolist()], pa.list_(pa.field("element", pa.float64())))}
+
+    tasks = [-1, *able]
+    jobs = spark.range(0, len(tasks), 1, len(tasks)).select(F.element_at(F.array(*map(F.lit, tasks)), F.col("id").cast("int") + 1).cast("long").alias("fold"))
+    got = {r["fold"]: r for r in map_arrow(jobs, work, "fold long, values binary, bias double, odds array<double>").collect()}
+    model = Model(np.frombuffer(got[-1]["values"], np.float32), got[-1]["bias"])
     odds = np.zeros(len(y))
-    for f in range(folds):
-        learnt = np.flatnonzero(fold != f)
-        if len(set(y[learnt].tolist())) == 2 and (fold == f).any():
-            other = train([bags[i] for i in learnt], y[learnt], bits, **options)
-            odds[fold == f] = [float(share @ other.values[name]) + other.bias for name, share in (bags[i] for i in np.flatnonzero(fold == f))]
+    for f in able:
+        odds[fold == f] = got[f]["odds"]
     model.slope, model.intercept = logistic(odds, y.astype(float), weight)
     model.prior = float(weight[y == 1].sum() / weight.sum())
     return model
@@ -170,7 +208,7 @@ def fit(texts: list[str], y: np.ndarray, weight: np.ndarray, folds: int = 3, bit
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """A model from the labelled rows whose crc32(doc_id) mod 5 is not 0, at most per_class of each class."""
-    return fit(*sample(docs, labels, "quality", crc_mod(F.col("doc_id"), 5) != 0, per_class))
+    return fit(docs.sparkSession, *sample(docs, labels, "quality", crc_mod(F.col("doc_id"), 5) != 0, per_class))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -192,7 +230,13 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
 
 
 def good_only(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The rows of docs whose text scores at least the threshold. All columns stay."""
+    """The rows of docs whose text scores at least the threshold. All columns stay.
+
+    Null texts count as empty; texts without words score the share of label 1.
+    Repeated rows stay or go together, null ids count as others do. An empty
+    table gives an empty result. Without labels of both classes all rows stay,
+    unless the one label is 0.
+    """
     model = learn(docs, labels)
 
     def work(batches):

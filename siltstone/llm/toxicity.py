@@ -1,31 +1,34 @@
 """Toxicity by maximum-scoring segments.
 
 Each word has a log-odds of toxic against clean documents under Dirichlet
-priors: counts of words are drawn to the rate of their stem (first four bytes),
-and rates of stems, counted over distinct words, to the rate of all. Less a
-drift, scores of clean text are negative on the whole, and the maximal scoring
-segments (Ruzzo and Tompa, linear time) are a text's candidate passages.
-Karlin-Altschul statistics, with lambda and K from clean text, turn a segment's
-score into the number of such segments that clean text of the same length has
-by chance; passages with few enough count, and a logistic fit turns their
-evidence into a score.
+priors, one drawn to the other: the counts of a word to the rate of its
+beginning, those of beginnings of up to LONGEST code points, counted over
+distinct words, to the rate of the beginning that is one shorter, and the
+shortest to the rate of all. An unknown word has the odds of its longest
+beginning known. Less a drift, scores of clean text are negative on the whole,
+and the maximal scoring segments (Ruzzo and Tompa, linear time) are a text's
+candidate passages. Karlin-Altschul statistics, with lambda and K from clean
+text, turn a segment's score into the number of such segments that clean text
+of the same length has by chance; passages with few enough count, and a
+logistic fit turns their evidence into a score.
 """
 
 from __future__ import annotations
 
 import dataclasses
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import crc_mod, map_arrow, table, texts_of, word_hashes
+from siltstone.llm.common import crc_mod, map_arrow, mix, places, table, texts_of, word_sums
 from siltstone.llm.labelled import logistic, sample
-from siltstone.llm.oph import places
+from siltstone.llm.quality import ROUND, pieces
 
-STEM = 4
+#: Code points of the longest beginning of a word that is counted.
+LONGEST = 8
 SIGNIFICANT = 0.05
 PER_CLASS = 4000
 
@@ -61,48 +64,80 @@ def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: n
     return np.where(keys[at] == wanted, values[at], default)
 
 
-def _stems(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The first STEM bytes of each word as a number; 0 for shorter words."""
-    code = np.zeros(len(starts), np.int64)
-    for k in range(STEM):
-        code = code << 8 | buf[np.minimum(starts + k, len(buf) - 1)]
-    return np.where(ends - starts >= STEM, code, 0)
+def read(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For some texts, or a part of a long one, at a time: hashes of the words, lower-cased, which text each is of, the code points, and where words start and end."""
+    held: list[tuple[int, str]] = []
+    size = 0
+    for piece in pieces(texts):
+        if held and size + len(piece[1]) > ROUND:
+            yield _read(held)
+            held, size = [], 0
+        held.append(piece)
+        size += len(piece[1]) + 1
+    if held:
+        yield _read(held)
+
+
+def _read(held: list[tuple[int, str]]) -> tuple[np.ndarray, ...]:
+    cp = np.frombuffer((" ".join(t for _, t in held) + " ").encode("utf-32-le", "surrogatepass"), "<u4")
+    cp = np.where((cp >= 65) & (cp <= 90), cp + 32, cp)
+    blank = (cp == 32) | (cp >= 9) & (cp <= 13)
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], blank)).view(np.int8)))
+    starts, ends = edge[::2], edge[1::2]
+    doc = np.repeat([i for i, _ in held], [len(t) + 1 for _, t in held])
+    return mix(word_sums(cp, starts, ends) + np.uint64(1)), doc[starts], cp, starts, ends
+
+
+def beginnings(cp: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the first 1..LONGEST code points of words, a column each; 0 where the word is not longer."""
+    out = np.zeros((len(starts), LONGEST), np.uint64)
+    h = np.zeros(len(starts), np.uint64)
+    for k, odd in enumerate(places(LONGEST)):
+        h = h + cp[np.minimum(starts + k, len(cp) - 1)] * odd
+        out[:, k] = np.where(ends - starts > k + 1, mix(h + np.uint64(k + 1)), 0)
+    return out
 
 
 @dataclasses.dataclass
 class Model:
-    """words and stems: sorted hashes with their log-odds less the drift; rest: that of all other words."""
+    """keys and values: sorted hashes of words and of beginnings with their log-odds less the drift; rest: that of all other words."""
 
-    words: np.ndarray
-    word_scores: np.ndarray
-    stems: np.ndarray
-    stem_scores: np.ndarray
+    keys: np.ndarray
+    values: np.ndarray
     rest: float
     rate: float = 1.0  # lambda
     k: float = 1.0
     slope: float = 0.0
     intercept: float = 0.0
 
-    def scores(self, texts: list[str]):
-        """For each text its words' scores, and the byte range of each word in its lower-cased UTF-8."""
-        for _, bounds, h, buf, starts, ends in word_hashes([t.encode("utf-8", "surrogatepass").lower() for t in texts]):
-            stem = _lookup(self.stems, self.stem_scores, _stems(buf, starts, ends), np.full(len(h), self.rest))
-            s = _lookup(self.words, self.word_scores, h, stem)
-            for a, b in zip(bounds, bounds[1:], strict=False):
-                yield s[a:b]
+    def scores(self, texts: list[str]) -> list[np.ndarray]:
+        """For each text its words' scores."""
+        parts: list[list[np.ndarray]] = [[np.zeros(0)] for _ in texts]
+        for h, doc, cp, starts, ends in read(texts):
+            names, first, code = np.unique(h, return_index=True, return_inverse=True)
+            s = _lookup(self.keys, self.values, names, np.full(len(names), np.nan))
+            new = np.flatnonzero(np.isnan(s))
+            found = np.full(len(new), self.rest)
+            for column in beginnings(cp, starts[first[new]], ends[first[new]]).T:  # the longest known beginning stays
+                found = _lookup(self.keys, self.values, column, found)
+            s[new] = found
+            cut = np.flatnonzero(np.diff(doc)) + 1
+            for own, i in zip(np.split(s[code], cut), doc[np.concatenate(([0], cut))] if len(doc) else [], strict=False):
+                parts[i].append(own)
+        return [np.concatenate(x) for x in parts]
 
     def chance(self, n: int, score: float) -> float:
-        """How many segments of at least that score clean text of n words has by chance."""
-        return self.k * max(n, 1) * float(np.exp(-self.rate * score))
+        """How many segments of at least that score clean text of n words has by chance, as a natural logarithm."""
+        return float(np.log(self.k * max(n, 1)) - self.rate * score)
 
     def passages(self, scores: np.ndarray) -> list[tuple[int, int, float, float]]:
-        """Significant passages: start and end word, score, chance."""
+        """Significant passages: start and end word, score, logarithm of the chance."""
         found = [(a, b, s, self.chance(len(scores), s)) for a, b, s in segments(scores)] if (scores > 0).any() else []
-        return [x for x in found if x[3] < SIGNIFICANT]
+        return [x for x in found if x[3] < np.log(SIGNIFICANT)]
 
     def evidence(self, scores: np.ndarray) -> float:
-        """Sum over significant passages of -log10 of chance, each up to 20, all up to 60."""
-        return min(60.0, sum(min(20.0, -np.log10(max(x[3], 1e-300))) for x in self.passages(scores)))
+        """Sum over significant passages of -log10 of chance."""
+        return sum(-x[3] for x in self.passages(scores)) / float(np.log(10))
 
     def probability(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * evidence + self.intercept, -30, 30)))
@@ -115,24 +150,24 @@ def fit(texts: list[str], y: np.ndarray, weight: np.ndarray, folds: int = 4, pri
     learnt from the other folds, as scores of known texts are too good.
     """
     if not len(texts) or y.min() == y.max():
-        none = np.zeros(0, np.int64)
-        return Model(none.view(np.uint64), none, none, none, -drift, intercept=30.0 if len(y) and y[0] else -30.0)
-    sketched = _read(texts)
-    model = log_odds(sketched, y, np.ones(len(y), bool), prior, drift)
+        none = np.zeros(0)
+        return Model(none.astype(np.uint64), none, -drift, intercept=30.0 if len(y) and y[0] else -30.0)
+    known = Words.of(texts)
+    model = log_odds(known, y, np.ones(len(y), bool), prior, drift)
     fold = np.empty(len(y), np.int64)
     for k in (0, 1):  # as many of each class in each fold
         fold[y == k] = np.arange((y == k).sum()) % folds
     scored: list[np.ndarray] = [np.zeros(0)] * len(texts)
     for f in range(folds):
         own = np.flatnonzero(fold == f)
-        other = log_odds(sketched, y, fold != f, prior, drift)
+        other = log_odds(known, y, fold != f, prior, drift)
         for i, x in zip(own, other.scores([texts[i] for i in own]), strict=True):
             scored[i] = x
 
     # Karlin and Altschul: lambda solves E[exp(lambda s)] = 1 over clean words. One word of score 1 is added, so that the root exists.
-    fresh = np.array([k[2] for k in sketched])
-    clean = [scored[i] for i in np.flatnonzero((y == 0) & fresh)]
-    value, n = np.unique(np.round(np.concatenate([*clean, [1.0]]), 2), return_counts=True)
+    clean = [(scored[i], known.weight[i]) for i in np.flatnonzero(y == 0)]
+    value, code = np.unique(np.round(np.concatenate([*(x for x, _ in clean), [1.0]]), 2), return_inverse=True)
+    n = np.bincount(code, np.concatenate([*(np.full(len(x), w) for x, w in clean), [1.0]]))
     share = n / n.sum()
     low, high = 1e-4, 50.0
     for _ in range(100):
@@ -140,27 +175,47 @@ def fit(texts: list[str], y: np.ndarray, weight: np.ndarray, folds: int = 4, pri
         low, high = (middle, high) if (share * np.exp(np.minimum(middle * value, 700))).sum() < 1 else (low, middle)
     model.rate = max(0.05, low)
     # K from the segments that clean text has above the middle of its segments' scores.
-    found = np.array([s for x in clean if (x > 0).any() for *_, s in segments(x)] or [1.0])
-    middle = float(np.median(found))
-    model.k = float((found >= middle).sum() / max(1, n.sum()) * np.exp(model.rate * middle))
+    found = [(s, w) for x, w in clean if (x > 0).any() for *_, s in segments(x)] or [(1.0, 1.0)]
+    middle = float(np.median([s for s, _ in found]))
+    model.k = float(sum(w for s, w in found if s >= middle) / max(1, n.sum()) * np.exp(model.rate * middle))
     evidence = np.array([model.evidence(x) for x in scored])
     model.slope, model.intercept = logistic(evidence, y.astype(float), weight)
     return model
 
 
-def _read(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, bool]]:
-    """Of each text: its distinct words, their stems, and whether no earlier text is a near copy: those agree in some band of four of their words' 16 MinHashes."""
-    seen: set[tuple] = set()
-    out = []
-    for _, bounds, h, buf, starts, ends in word_hashes([t.encode("utf-8", "surrogatepass").lower() for t in texts]):
-        stem = _stems(buf, starts, ends)
-        for a, b in zip(bounds, bounds[1:], strict=False):
-            own, first = np.unique(h[a:b], return_index=True)
-            marks = [int((own * odd).min()) for odd in places(16)] if a < b else [0] * 16
-            marks = {(k, *marks[k : k + 4]) for k in range(0, 16, 4)}
-            out.append((own, stem[a:b][first], not marks & seen))
-            seen |= marks
-    return out
+@dataclasses.dataclass
+class Words:
+    """names: of distinct words, with their beginnings; text and word: which text has which; weight: of each text, one over how many near copies it has."""
+
+    names: np.ndarray
+    begin: np.ndarray
+    text: np.ndarray
+    word: np.ndarray
+    weight: np.ndarray
+
+    @staticmethod
+    def of(texts: list[str]) -> Words:
+        """Texts are near copies if they agree in a band of four of their words' 16 MinHashes; of the four bands the one with the most company counts."""
+        names, begin, text, word = [], [], [], []
+        for h, doc, cp, starts, ends in read(texts):
+            own, first, code = np.unique(h, return_index=True, return_inverse=True)
+            pair = np.unique(doc * len(own) + code)
+            names.append(own)
+            begin.append(beginnings(cp, starts[first], ends[first]))
+            text.append(pair // max(1, len(own)))
+            word.append(own[pair % max(1, len(own))])
+        every, first = np.unique(np.concatenate([np.zeros(0, np.uint64), *names]), return_index=True)
+        begin = np.concatenate([np.zeros((0, LONGEST), np.uint64), *begin])[first]
+        pair = np.unique(np.concatenate([np.zeros(0, np.int64), *text]) * max(1, len(every)) + np.searchsorted(every, np.concatenate([np.zeros(0, np.uint64), *word])))
+        text, word = pair // max(1, len(every)), pair % max(1, len(every))
+        weight = np.ones(len(texts))
+        some, starts = np.unique(text, return_index=True)
+        if len(some):
+            least = np.stack([np.minimum.reduceat((every * odd)[word], starts) for odd in places(16)])
+            for band in least.reshape(4, 4, -1):
+                _, code, n = np.unique(band, axis=1, return_inverse=True, return_counts=True)
+                weight[some] = np.minimum(weight[some], 1 / n[code.reshape(-1)])
+        return Words(every, begin, text, word, weight)
 
 
 def _towards(prior: np.ndarray, odds: np.ndarray, a1: np.ndarray, a0: np.ndarray) -> np.ndarray:
@@ -169,31 +224,38 @@ def _towards(prior: np.ndarray, odds: np.ndarray, a1: np.ndarray, a0: np.ndarray
     return prior + np.sign(odds - prior) * np.maximum(0, np.abs(odds - prior) - error)
 
 
-def log_odds(read: list[tuple], y: np.ndarray, use: np.ndarray, prior: float, drift: float) -> Model:
-    """The words' and stems' scores from the texts in use, by how many texts have a word; near copies count once."""
-    chosen = [i for i in np.flatnonzero(use) if read[i][2]]
-    words = np.concatenate([np.zeros(0, np.uint64), *(read[i][0] for i in chosen)])
-    stems = np.concatenate([np.zeros(0, np.int64), *(read[i][1] for i in chosen)])
-    sides = np.repeat(y[chosen], [len(read[i][0]) for i in chosen]) if chosen else np.zeros(0, np.int64)
-    names, first, code = np.unique(words, return_index=True, return_inverse=True)
-    stem_of = stems[first]
-    c1, c0 = (np.bincount(code, sides == k, len(names)) for k in (1, 0))
+def log_odds(known: Words, y: np.ndarray, use: np.ndarray, prior: float, drift: float) -> Model:
+    """Scores of words and of their beginnings from the texts in use, by how many texts have a word; near copies weigh as one text together."""
+    weight = known.weight * use
+    c1, c0 = (np.bincount(known.word, (weight * (y == k))[known.text], len(known.names)) for k in (1, 0))
+    base = np.zeros(len(known.names))
+    keys, values = [], []
+    # Beginnings, by distinct words: one that many toxic words share counts, one frequent word's doesn't.
+    s1, s0 = (c1 > 0).astype(float), (c0 > 0).astype(float)
+    m1, m0 = max(1.0, s1.sum()), max(1.0, s0.sum())
+    for column in known.begin.T:
+        some = np.flatnonzero((column != 0) & (c1 + c0 > 0))
+        names, first, code = np.unique(column[some], return_index=True, return_inverse=True)
+        t1, t0 = (np.bincount(code, x[some], len(names)) for x in (s1, s0))
+        below = base[some[first]]
+        odds = _drawn(t1, t0, m1, m0, below, prior)
+        base[some] = odds[code]
+        keep = np.abs(odds - below) > 0.05
+        keys.append(names[keep])
+        values.append(odds[keep] - drift)
     n1, n0 = max(1.0, c1.sum()), max(1.0, c0.sum())
+    odds = _drawn(c1, c0, n1, n0, base, prior)
+    keep = np.abs(odds - base) > 0.05
+    keys, values = np.concatenate([*keys, known.names[keep]]), np.concatenate([*values, odds[keep] - drift])
+    order = np.argsort(keys)
+    return Model(keys[order], values[order], -drift)
 
-    # Stems, by distinct words: a stem that many toxic words share counts, one frequent word's doesn't.
-    long = stem_of != 0
-    stem_names, stem_code = np.unique(stem_of[long], return_inverse=True)
-    t1, t0 = (np.bincount(stem_code, x[long] > 0, len(stem_names)) for x in (c1, c0))
-    m1, m0 = max(1.0, t1.sum()), max(1.0, t0.sum())
-    a1, a0 = t1 + prior * m1 / (m1 + m0), t0 + prior * m0 / (m1 + m0)
-    stem_odds = _towards(np.zeros(len(stem_names)), np.log(a1 / m1) - np.log(a0 / m0), a1, a0)
-    base = np.zeros(len(names))
-    base[long] = stem_odds[stem_code]
+
+def _drawn(c1: np.ndarray, c0: np.ndarray, n1: float, n0: float, base: np.ndarray, prior: float) -> np.ndarray:
+    """Log-odds of counts of n1 toxic and n0 clean, under a Dirichlet prior of log-odds base."""
     up = n1 * np.exp(base)
     a1, a0 = c1 + prior * up / (up + n0), c0 + prior * n0 / (up + n0)
-    odds = _towards(base, np.log(a1 / n1) - np.log(a0 / n0), a1, a0)
-    keep = np.abs(odds - base) > 0.05
-    return Model(names[keep], (odds - drift)[keep], stem_names, stem_odds - drift, -drift)
+    return _towards(base, np.log(a1 / n1) - np.log(a0 / n0), a1, a0)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -201,7 +263,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def work(batches):
         for b in batches:
-            own = list(model.scores(texts_of(b["text"])))
+            own = model.scores(texts_of(b["text"]))
             found = np.array([model.evidence(x) for x in own])
             yield {"doc_id": b["doc_id"].cast("int64"), "score": pa.array(model.probability(found)), "passages": pa.array([len(model.passages(x)) for x in own], pa.int32())}
 
@@ -209,7 +271,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def spans(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, start, end, segment_score, chance): every significant passage of each text, in words."""
+    """(doc_id, start, end, segment_score, chance): every significant passage of each text, in words; chance is a natural logarithm."""
 
     def work(batches):
         for b in batches:
@@ -233,7 +295,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, passages.
 
-    Null texts count as empty. An empty table gives an empty result. Labels,
+    Null texts count as empty; texts without a significant passage score
+    alike. Repeated rows are scored alike. An empty table gives an empty result. Labels,
     lang, source and doc_id are no inputs of a score; other columns are not
     read.
     """
@@ -242,7 +305,13 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Data
 
 
 def clean_only(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """The rows of docs whose text scores below the threshold. All columns stay."""
+    """The rows of docs whose text scores below the threshold. All columns stay.
+
+    Null texts count as empty, and texts without a significant passage score
+    alike. Repeated rows stay or go together, null ids count as others do. An
+    empty table gives an empty result. Without labels of both classes all rows
+    stay, unless the one label is toxic.
+    """
     model = learn(docs, labels)
 
     def work(batches):

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -125,20 +126,122 @@ def test_quality(poor):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(r["doc_id"]) for r in docs.collect() if predicted[r["doc_id"]])
 
 
-def test_scores_are_the_trained_network():
-    """The one number a row that a model keeps gives what averaging vectors and the softmax give."""
-    texts, y = ["good words here", "BAD BAD BAD!!", "more good words", "BAD!! WORSE!!"], np.array([1, 0, 1, 0])
-    model = quality.train(quality.bags_of(texts, 10), y, bits=10, epochs=20)
-    odds = model.odds(texts)
-    assert (odds[y == 1] > odds[y == 0].max()).all()
-    twice = model.odds([t + " " + t for t in texts[:1]])
-    assert np.isfinite(twice).all()
+def slow_features(text):
+    """Each feature of a text by plain Python: words, n-grams in a word between blanks, and the token for a repeat."""
+    words = text.encode("utf-32-le", "surrogatepass")
+    words = "".join(" " if c in " \t\n\v\f\r" else c for c in text).split(" ")
+    words = [w for w in words if w]
+    found = [("word", w) for w in words] + [("same",) for a, b in zip(words, words[1:], strict=False) if a == b]
+    for w in words:
+        w = f" {w} "
+        found += [("gram", w[i : i + n]) for n in quality.GRAMS for i in range(len(w) - n + 1)]
+    return found
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("ab é\n", max_size=60), max_size=5), st.sampled_from([4, 9, 1 << 18]))
+def test_features_are_those_of_plain_python(texts, size):
+    """Equal features have equal rows, whatever windows a text is read in (words here are shorter than a window)."""
+    from unittest import mock
+
+    texts = [" ".join(w[:3] for w in t.split(" ")) for t in texts]
+    with mock.patch.object(quality, "ROUND", size):
+        if any(len(w) >= size for t in texts for w in t.split()):
+            return
+        got = [[] for _ in texts]
+        for rows, owners in quality.features(texts, 30):
+            for r, o in zip(rows.tolist(), owners.tolist(), strict=True):
+                got[o].append(r)
+    for t, g in zip(texts, got, strict=True):
+        want = slow_features(t)
+        assert len(g) == len(want) and len(set(g)) == len(set(want))
+
+
+def slow_train(bags, y, bits, dim, epochs, rate=0.5, seed=42):
+    """The network of train, step by step, in plain Python over lists."""
+    draw = np.random.default_rng(seed)
+    vectors = draw.uniform(-1 / dim, 1 / dim, (1 << bits, dim)).astype(np.float32).astype(float).tolist()
+    out, bias = [[0.0] * dim, [0.0] * dim], [0.0, 0.0]
+    classes = [np.flatnonzero(y == k) for k in (0, 1)]
+    n = max(map(len, classes))
+    steps, done = epochs * 2 * n, 0
+    for _ in range(epochs):
+        turns = np.stack([np.concatenate([draw.permutation(c) for _ in range(-(-n // len(c)))])[:n] for c in classes], axis=1).ravel()
+        for i in turns.tolist():
+            step = rate * (1 - done / steps)
+            done += 1
+            rows, share = (x.tolist() for x in bags[i])
+            hidden = [sum(s * vectors[r][k] for r, s in zip(rows, share, strict=True)) for k in range(dim)]
+            z = [sum(a * b for a, b in zip(o, hidden, strict=True)) + c for o, c in zip(out, bias, strict=True)]
+            e = [math.exp(v - max(z)) for v in z]
+            g = [v / sum(e) - (k == y[i]) for k, v in enumerate(e)]
+            back = [g[0] * out[0][k] + g[1] * out[1][k] for k in range(dim)]
+            for r, s in zip(rows, share, strict=True):
+                for k in range(dim):
+                    vectors[r][k] -= step * math.sqrt(len(rows)) * s * back[k]
+            for j in (0, 1):
+                bias[j] -= step * g[j]
+                for k in range(dim):
+                    out[j][k] -= step * g[j] * hidden[k]
+    return vectors, out, bias
+
+
+def test_scores_are_the_trained_network(spark):
+    """Vectors averaged and put through the softmax by plain Python give the scores of the model, which keeps one number a row."""
+    texts, y = ["good words here", "BAD BAD BAD!!", "more good words", "BAD!! WORSE!!", "words here", "BAD WORSE"], np.array([1, 0, 1, 0, 1, 0])
+    bags = quality.bags_of(texts, 10)
+    model = quality.train(bags, y, np.ones(6, bool), bits=10, dim=5, epochs=20)
+    vectors, out, bias = slow_train(bags, y, 10, 5, 20)
+    odds = model.odds([*texts, "BAD words, all new", ""])
+    for i, text in enumerate([*texts, "BAD words, all new"]):
+        rows = np.concatenate([r for r, _ in quality.features([text], 10)])
+        mean = [sum(vectors[r][k] for r in rows.tolist()) / len(rows) for k in range(5)]
+        z = [sum(a * b for a, b in zip(o, mean, strict=True)) + c for o, c in zip(out, bias, strict=True)]
+        assert odds[i] == pytest.approx(z[1] - z[0], rel=1e-3, abs=1e-3)
+    assert (odds[:6][y == 1] > odds[:6][y == 0].max()).all()
+    whole = quality.fit(spark, texts, y, np.ones(6), bits=10, dim=5, epochs=20)
+    p = whole.probability(texts)
+    assert p == pytest.approx(1 / (1 + np.exp(-(whole.slope * odds[:6] + whole.intercept))), rel=1e-3)
+    assert whole.probability(["", " \n"]).tolist() == [0.5, 0.5]
+
+
+def slow_score(model, text):
+    """A toxicity score by plain Python: log-odds of words or of their longest known beginnings, all pairs of ends searched for segments."""
+    known = dict(zip(model.keys.tolist(), model.values.tolist(), strict=True))
+    scores = []
+    for w in text.split():
+        h, _, cp, starts, ends = next(toxicity.read([w]))
+        begin = [int(x) for x in toxicity.beginnings(cp, starts, ends)[0] if x]
+        scores.append(next((known[k] for k in [int(h[0]), *begin[::-1]] if k in known), model.rest))
+    total = 0.0
+    for _, _, s in slow_segments(scores):
+        chance = model.k * max(len(scores), 1) * math.exp(-model.rate * s)
+        if chance < toxicity.SIGNIFICANT:
+            total -= math.log10(chance)
+    return 1 / (1 + math.exp(-min(30, max(-30, model.slope * total + model.intercept))))
+
+
+def test_toxicity_scores_are_those_of_plain_python(toxic):
+    docs, labels, _, _ = toxic
+    model = toxicity.learn(docs, labels)
+    texts = [r["text"] for r in docs.collect() if r["text"] and len(r["text"]) < 400][:40] + ["", "grumbler", "villainous nastyface grumblers " * 8]
+    got = model.probability(np.array([model.evidence(s) for s in model.scores(texts)]))
+    assert got.tolist() == pytest.approx([slow_score(model, t) for t in texts], abs=1e-9)
+    assert got[-1] > 0.99
 
 
-def test_features_count():
-    (_, rows, owners), = list(quality.features(["ab ab abc", ""], 12))
-    # three words, one repeated; n-grams of _ab_, _ab_, _abc_: 2 + 1, 2 + 1, 3 + 2 + 1
-    assert len(rows) == 3 + 1 + 3 + 3 + 6 and set(owners.tolist()) == {0}
+def test_windows_of_long_texts_change_nothing(toxic, monkeypatch):
+    docs, labels, _, rows = toxic
+    model = toxicity.learn(docs, labels)
+    text = " ".join(r[1] or "" for r in rows[:200])
+    whole = model.scores([text, rows[0][1]])
+    bags = quality.bags_of([text])
+    for where in (quality, toxicity):
+        monkeypatch.setattr(where, "ROUND", 500)
+    parts = model.scores([text, rows[0][1]])
+    assert all(np.array_equal(a, b) for a, b in zip(whole, parts, strict=True))
+    again = quality.bags_of([text])
+    assert np.array_equal(bags.rows, again.rows) and np.allclose(bags.shares, again.shares)
 
 
 @pytest.mark.parametrize("kind", ["none", "one class", "no rows"])
@@ -156,3 +259,17 @@ def test_sample_is_bounded_and_weighed(spark, docs):
 
     texts, y, weight = labelled.sample(docs, labels, "toxic", F.lit(True), 8)
     assert len(texts) <= 18 and weight[y == 1].sum() / weight.sum() == pytest.approx(50 / 60)
+
+
+def test_sample_is_ordered_deduplicated_and_bounded_in_bytes(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(i % 40, f"{'x' * 100}{i}") for i in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 20)) for i in range(40)] * 2 + [(3, 0), (None, 1), (7, None)], "doc_id long, toxic int")
+    got = [labelled.sample(docs.repartition(n), labels.repartition(n), "toxic", F.lit(True), 12) for n in (1, 7)]
+    assert got[0][0] == got[1][0] and np.array_equal(got[0][1], got[1][1]) and len(got[0][0]) == 24
+    texts, y, weight = labelled.sample(docs, labels, "toxic", F.lit(True), 100)
+    assert len(texts) == 39 and (y == 1).sum() == 19  # the id of both labels is left out, of two texts of an id the least is read
+    assert all(int(t[100:]) < 40 or str(int(t[100:]) - 40) > t[100:] for t in texts)
+    texts, _, _ = labelled.sample(docs, labels, "toxic", F.lit(True), 100, most_bytes=310)
+    assert len(texts) == 6
