@@ -23,14 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import map_arrow, new_path, stash, table, texts_of
+from siltstone.llm.common import map_arrow, new_path, open_fs, stash, table, texts_of
 from siltstone.llm.tokens import default_path, encoder
 
 MAGIC = b"SILTIDS1"
 BLOCK = 4096
 NO_ID = -(1 << 63)
 #: Files that one task reads.
-FILES_PER_TASK = 4
+FILES_PER_TASK = 16
 
 
 def bits_for(vocabulary: int) -> int:
@@ -109,12 +109,6 @@ class TokenFile:
         return self.ids(int(self.starts[i]), int(self.starts[i + 1]))
 
 
-def open_fs(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri)
-
-
 def write_files(docs: DataFrame, folder: str, tokenizer: str, end: int = 2, ids_per_file: int = 1 << 22, partitions: int | None = None) -> DataFrame:
     """Writes token-id files under folder, which all executors must share; one row per file: path, part, nth, n_docs, n_ids.
 
