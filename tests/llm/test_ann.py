@@ -59,6 +59,15 @@ def test_recall_over_lists(spark, monkeypatch):
         assert [s for _, s in found] == sorted((s for _, s in found), reverse=True)
 
 
+def test_queries_that_find_too_few_read_all_lists(spark):
+    rows = vectors(2500, clusters=400)
+    table = spark.createDataFrame(rows, SCHEMA)
+    got = answers(ann.search(table, F.col("vec_id") % 50 == 0, k=90, recall=0.001))
+    want = brute(rows, 90, 50)
+    assert set(got) == set(want) and all(len(x) == 90 for x in got.values())
+    assert sum([j for j, _ in got[i]] == [j for j, _ in want[i]] for i in want) > 40  # those that were widened are exact
+
+
 def test_norms_differ(spark):
     draw = np.random.default_rng(3)
     rows = [(i, (draw.normal(size=8) * draw.uniform(0.1, 5)).tolist(), 0, 1, 0.5) for i in range(2500)]

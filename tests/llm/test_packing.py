@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter
 
@@ -8,6 +9,8 @@ from hypothesis import strategies as st
 
 from siltstone.llm import packing, tokenfile, tokens
 
+from .conftest import prose
+
 PATH = tokens.default_path()
 
 
@@ -141,3 +144,11 @@ def test_small_files_keep_order(named, rows, tmp_path):
     assert files.count() > 10
     got = tokenfile.read_files(files).orderBy("start").collect()
     assert [r["doc_id"] for r in got] == sorted(r[0] for r in rows[:-2])
+
+
+def test_windows_of_a_long_text_change_no_id(monkeypatch):
+    draw = random.Random(3)
+    texts = [prose(draw, 400), "x" * 900 + " y", "é\u3000中 " * 90, "\n" * 300, "a<|endoftext|>b " * 30]
+    whole = list(tokens.Encoder(PATH).encode(texts, 2))
+    monkeypatch.setattr(tokens, "WINDOW", 100)
+    assert list(tokens.Encoder(PATH).encode(texts, 2)) == whole == [np.array([*ids_of(t), 2], "<u4").tobytes() for t in texts]

@@ -1,4 +1,5 @@
 import re
+from unittest import mock
 
 import numpy as np
 import pytest
@@ -7,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from siltstone.llm import simhash
-from siltstone.llm.common import components
+from siltstone.llm.common import components, local_components
 
 
 def slow_fingerprint(text):
@@ -25,6 +26,41 @@ def test_fingerprint(text):
     assert simhash.fingerprint(text) == slow_fingerprint(text)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="aB \t\x1c é", max_size=80), st.sampled_from([1, 2, 5, 16]))
+def test_fingerprint_in_windows(text, size):
+    with mock.patch.object(simhash, "WINDOW", size):
+        assert simhash.fingerprint(text) == slow_fingerprint(text)
+
+
+@pytest.mark.parametrize("within", [1, 2, 3, 4])
+def test_no_link_is_lost_within(spark, within):
+    """Random sets with many distances around the limit, against all pairs, for odd limits too."""
+    ball = simhash.Ball(6, (within + 1) // 2)
+    for seed in range(40):
+        draw = np.random.default_rng(seed)
+        fps = {int(draw.integers(0, 1 << 63))}
+        while len(fps) < 30:
+            x = int(draw.choice(list(fps)))
+            for b in draw.choice(63, int(draw.integers(1, within + 3)), replace=False):
+                x ^= 1 << int(b)
+            fps.add(x)
+        array = np.array(sorted(fps), np.uint64)
+        home = ball.home(array)
+        a, b = [], []
+        for bucket in range(64):
+            own = array[np.isin(home ^ bucket, list(ball.masks))]
+            if len(own):
+                x, y = ball.links(bucket, own, within)
+                a += x.tolist()
+                b += y.tolist()
+        assert all((x ^ y).bit_count() <= 64 for x, y in zip(a, b, strict=True))
+        at = {x: i for i, x in enumerate(array.tolist())}
+        label = local_components(len(array), np.array([at[x] for x in a], np.int64), np.array([at[x] for x in b], np.int64))
+        want = classes_of(dict(enumerate(array.tolist())), within)
+        assert label.tolist() == [want[i] for i in range(len(array))]
+
+
 def classes_of(fps: dict[int, int], within=4):
     label = {i: i for i in fps}
     while True:
