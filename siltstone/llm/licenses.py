@@ -98,20 +98,23 @@ def anchors(v: dict[str, float], threshold: float) -> set[str]:
 START = 1000
 
 
-def passages(text: Column, path: Column, places: list[tuple[str, int, int]]) -> Column:
-    """The passages (name, terms) of a text. places: an anchor, its place in a template, and the template's terms, for all of them."""
+def passages(files: DataFrame, places: list[tuple[str, int, int]]) -> DataFrame:
+    """(doc_id, path, name, t, n): the passages of files (doc_id, path, text), and how often each has a term. places: an anchor, its place in a template, and the template's terms, for all of them.
+
+    Each step is a projection of its own, as a column inside a function of
+    another is computed again for every element.
+    """
     marks = sorted({t for t, _, _ in places})
-    folded = F.translate(text, UPPER, LOWER)
-    some = F.lit(False)
-    for m in marks:
-        some = some | folded.contains(m)  # else there is nothing to cut into terms
     every = F.array(*(F.struct(F.lit(t).alias("t"), F.lit(k).alias("k"), F.lit(n).alias("n")) for t, k, n in places))
-    all_terms = terms(text)
-    hits = F.filter(F.transform(all_terms, lambda t, i: F.struct(t.alias("t"), i.alias("i"))), lambda x: F.array_contains(F.array(*map(F.lit, marks)), x["t"]))
-    names = F.array_distinct(F.flatten(F.transform(hits, lambda x: F.transform(F.filter(every, lambda a: a["t"] == x["t"]), lambda a: F.greatest(x["i"] - a["k"], F.lit(0)).cast("long") * START + a["n"]))))
-    found = F.transform(names, lambda c: F.struct(c.alias("name"), F.slice(all_terms, F.floor(c / START).cast("int") + 1, (c % START).cast("int")).alias("terms")))
-    whole = F.array(F.struct(F.lit(-1).cast("long").alias("name"), all_terms.alias("terms")))
-    return F.when(some, F.when(is_licence_file(path), F.concat(whole, found)).otherwise(found))
+    cut = files.select("doc_id", "path", terms(F.col("text")).alias("terms")).where(F.arrays_overlap("terms", F.array(*map(F.lit, marks))))
+    numbered = F.transform("terms", lambda t, i: F.struct(t.alias("t"), i.alias("i")))
+    hits = cut.select("doc_id", "path", "terms", F.filter(numbered, lambda x: x["t"].isin(*marks)).alias("hits"))
+    own = F.transform("hits", lambda x: F.transform(F.filter(every, lambda a: a["t"] == x["t"]), lambda a: F.greatest(x["i"] - a["k"], F.lit(0)).cast("long") * START + a["n"]))
+    named = hits.select("doc_id", "path", "terms", F.array_distinct(F.flatten(own)).alias("names"))
+    found = F.transform("names", lambda c: F.struct(c.alias("name"), F.slice("terms", F.floor(c / START).cast("int") + 1, (c % START).cast("int")).alias("terms")))
+    whole = F.array(F.struct(F.lit(-1).cast("long").alias("name"), F.col("terms")))
+    some = named.select("doc_id", "path", F.inline(F.when(is_licence_file(F.col("path")), F.concat(whole, found)).otherwise(found)))
+    return some.select("doc_id", "path", "name", F.explode("terms").alias("t")).groupBy("doc_id", "path", "name", "t").agg(F.count(F.lit(1)).alias("n"))
 
 
 def is_licence_file(path: Column) -> Column:
@@ -139,8 +142,7 @@ def stated(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         own = anchors(vectors[-1], threshold)
         places |= {(t, k, len(sequence)) for k, t in enumerate(sequence) if t in own}
 
-    found = files.select("doc_id", "path", F.inline(passages(F.col("text"), F.col("path"), sorted(places))))
-    counted = found.select("doc_id", "path", "name", F.explode("terms").alias("t")).groupBy("doc_id", "path", "name", "t").agg(F.count(F.lit(1)).alias("n"))
+    counted = passages(files, sorted(places))
     known = spark.createDataFrame([(t, w, [v.get(t, 0.0) for v in vectors]) for t, w in sorted(weights.items())], "t string, w double, v array<double>")
     weighed = counted.join(F.broadcast(known), "t", "left").withColumn("w", F.col("n") * F.coalesce("w", F.lit(idf(n_docs, 0))))
     dots = [F.sum(F.col("w") * F.coalesce(F.col("v")[i], F.lit(0.0))).alias(f"d{i}") for i in range(len(vectors))]
