@@ -146,7 +146,8 @@ def split_words(c: Column | str) -> Column:
 
 
 def split_count(c: Column | str) -> Column:
-    return F.size(split_words(c))
+    """How many words split_words has."""
+    return F.coalesce(F.regexp_count(col(c), F.lit(r"[^\s\p{Z}]+")), F.lit(0))
 
 
 def tokens_up(n: Column) -> Column:

@@ -1,7 +1,7 @@
 """Chunks: packing sentences, clauses, rows, cells and fields up to a number of words.
 
-All packing goes through one fold over an array of units in a row. A unit that
-is already too long comes as pieces marked alone, which are chunks of their own.
+Packing is one fold over an array of units in a row. A unit that is already too
+long comes as pieces marked alone, which are chunks of their own.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import text as T
 from siltstone.functions import vectors as V
+from siltstone.functions.folds import fold
 from siltstone.operators.segment import careful_sentences, sentences
 
 UNIT = "struct<text:string,words:int,alone:boolean,kind:string>"
@@ -29,7 +30,8 @@ def pack(units: Column, limit: int, by: str = " ", kind: str = "oracion", keep_o
     """Units joined greedily up to `limit` words: an array of (text, words, kind).
 
     Units alone close what is open, unless keep_open: then they come before
-    it, and it goes on after them.
+    it, and it goes on after them. Units of a paragraph or a table: each step
+    copies what is out so far.
     """
     none = F.array().cast(f"array<{PIECE}>")
     start = F.struct(none.alias("out"), F.array().cast("array<string>").alias("open"), F.lit(0).alias("words"))
@@ -51,6 +53,25 @@ def pack(units: Column, limit: int, by: str = " ", kind: str = "oracion", keep_o
     return F.aggregate(units, start, step, closed)
 
 
+def pack_all(units: Column, limit: int, kind: str = "oracion") -> Column:
+    """As pack, for units (text, words) of whole documents, in one linear pass."""
+
+    def packed(found: list[dict]) -> list[dict]:
+        out: list[dict] = []
+        open_: list[str] = []
+        words = 0
+        for u in [*found, None]:
+            if open_ and (u is None or words + u["words"] > limit):
+                out.append({"text": " ".join(open_), "words": words, "kind": kind})
+                open_, words = [], 0
+            if u:
+                open_.append(u["text"])
+                words += u["words"]
+        return out
+
+    return fold(packed, f"array<{PIECE}>", units)
+
+
 def hard_split(text: Column | str, most: int = 250) -> Column:
     """Windows of `most` words between white space."""
     words = T.split_words(text)
@@ -157,21 +178,23 @@ def pack_semantic(units: Column, target: int = 200, most: int = 250, threshold:
 def pack_plain(text: Column | str, target: int = 200, most: int = 250) -> Column:
     """Collapsed text up to `most` words (between white space) as one chunk, longer ones as whole sentences up to `target` words: an array of (text, words, kind)."""
     flat = T.collapse_blanks(text)
-    units = F.transform(sentences(flat), lambda s: unit(s, T.split_count(s)))
-    return F.when(T.split_count(flat) <= most, F.array(_piece(flat, T.split_count(flat), F.lit("oracion")))).otherwise(pack(units, target))
+    units = F.transform(sentences(flat), lambda s: F.struct(s.alias("text"), T.split_count(s).alias("words")))
+    return F.when(T.split_count(flat) <= most, F.array(_piece(flat, T.split_count(flat), F.lit("oracion")))).otherwise(pack_all(units, target))
 
 
 def spans(text: Column, pieces: Column) -> Column:
     """(start, end) of each piece in collapsed text, searched from the end of the one before; a piece that isn't found starts there."""
-    start = F.struct(F.array().cast("array<struct<start:int,end:int>>").alias("out"), F.lit(0).alias("at"))
 
-    def step(s: Column, p: Column) -> Column:
-        found = F.call_function("locate", p, text, s["at"] + 1)
-        first = F.when(found > 0, found - 1).otherwise(s["at"])
-        last = first + F.length(p)
-        return F.struct(F.concat(s["out"], F.array(F.struct(first.alias("start"), last.alias("end")))).alias("out"), last.alias("at"))
+    def placed(whole: str, found: list[str]) -> list[dict]:
+        out, at = [], 0
+        for p in found:
+            first = whole.find(p, at)
+            first = at if first < 0 else first
+            at = first + len(p)
+            out.append({"start": first, "end": at})
+        return out
 
-    return F.aggregate(pieces, start, step, lambda s: s["out"])
+    return fold(placed, "array<struct<start:int,end:int>>", text, pieces)
 
 
 def reject_reason(text: Column | str, section: Column | None = None, least: int = 15) -> Column:
