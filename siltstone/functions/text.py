@@ -1,4 +1,4 @@
-"""Text functions, Column to Column, all inside the JVM.
+"""Text functions, Column to Column, all inside the JVM but nfc.
 
 Word characters are [\\p{L}\\p{N}_], not \\w, which Java limits to ASCII. Letter
 case is folded with lower(). Null stays null unless said otherwise.
@@ -6,6 +6,9 @@ case is folded with lower(). Null stays null unless said otherwise.
 
 from __future__ import annotations
 
+import unicodedata
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -300,7 +303,7 @@ def is_reference_line(c: Column | str) -> Column:
 
 
 def is_reference_heading(c: Column | str) -> Column:
-    return F.trim(col(c)).rlike(r"^(?i)(?:" + "|".join(W.REFERENCE_HEADINGS) + ")$")
+    return F.trim(col(c)).rlike(W.REFERENCE_HEADING)
 
 
 def heading_name(c: Column | str) -> Column:
@@ -318,7 +321,7 @@ def is_kept_heading(c: Column | str) -> Column:
 
 
 def is_content_heading(c: Column | str) -> Column:
-    return col(c).rlike(r"(?i)\b(?:" + "|".join(W.CONTENT_HEADINGS) + r")\b")
+    return col(c).rlike(W.CONTENT_HEADING)
 
 
 def has_other_script(c: Column | str) -> Column:
@@ -417,3 +420,34 @@ def one_line_repeated(c: Column | str) -> Column:
     """Whether all of at least three lines that are not blank are the same."""
     rows = F.filter(F.transform(lines(c), lambda x: F.trim(x)), lambda x: x != "")
     return (F.size(rows) >= 3) & (F.size(F.array_distinct(rows)) == 1)
+
+
+# -- normal form, experiments, results --
+
+
+def nfc(c: Column | str) -> Column:
+    """Text in Unicode's composed normal form. Spark has no function for it; texts of ASCII alone stay in the JVM."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist()], pa.string())
+
+    text = col(c)
+    odd = F.when(text.rlike(r"[^\x00-\x7F]"), text)
+    return F.coalesce(F.arrow_udf(run, "string")(odd), text)
+
+
+def chunk_folder(experiment: Column | str) -> Column:
+    """The folder of PDF chunks of an experiment, named by its configuration or its corpus; other names stay."""
+    names = F.create_map(*[F.lit(x) for own in W.EXPERIMENTS for name in own[:2] for x in (name, own[2])])
+    return F.coalesce(F.element_at(names, col(experiment)), col(experiment))
+
+
+def corpus_name(folder: Column | str) -> Column:
+    """The corpus that a folder of PDF chunks belongs to; other names stay."""
+    names = F.create_map(*[F.lit(x) for own in W.EXPERIMENTS for x in (own[2], own[1])])
+    return F.coalesce(F.element_at(names, col(folder)), col(folder))
+
+
+def result_text(text: Column | str, texto: Column | str) -> Column:
+    """A result's text: its field text, else texto, else ''; an empty field counts as none."""
+    return F.coalesce(F.nullif(col(text), F.lit("")), col(texto), F.lit(""))

@@ -96,11 +96,8 @@ ABBREVIATIONS = (
     "jun.", "jul.", "aug.", "sep.", "sept.", "oct.", "nov.", "dec.",
 )
 
-REFERENCE_HEADINGS = ("references", "bibliography", "works cited", "sources", "referencias", "bibliograf[ií]a", "fuentes", "notas")
-CONTENT_HEADINGS = (
-    "chapter", "section", "introduction", "overview", "conclusion", "methodology", "results",
-    "technical performance", "research and development", "bibliography", "references", "index",
-)
+REFERENCE_HEADING = r"^(?i)(?:references|bibliography|works cited|sources|referencias|bibliograf[ií]a|fuentes|notas)$"
+CONTENT_HEADING = r"(?i)\b(?:chapter|section|introduction|overview|conclusion|methodology|results|technical performance|research and development|bibliography|references|index)\b"
 KEPT_HEADINGS = ("introduction", "overview", "annual report", "symbols", "report highlights", "top takeaways")
 REMOVABLE_HEADINGS = ("table of contents", "contents", "acknowledgements", "acknowledgments", "public data and tools", "get involved")
 
@@ -152,3 +149,13 @@ TABLE_RULE = r"^\s*\|?\s*:?-{2,}:?\s*(?:\|\s*:?-{2,}:?\s*)+\|?\s*$"
 BULLET = r"^\s*[•▪◦‣⁃∙·●○■□➢➤-]\s+"
 SENTENCE = r"\S.*?(?:[.!?。！？]+(?=\s|$)|$)"
 LABEL = r"^([A-Za-z0-9_$.\[\]-]+):\s*(.*)$"
+
+#: Experiments, as (configuration, corpus, folder of its PDF chunks).
+EXPERIMENTS = (
+    ("01_bge_m3_corpus", "corpus_bge_m3_standard", "pdfs_standard_objetivo-200palabras_max-250_solapamiento-0_bge_m3"),
+    ("02_hibrido_granite_late_pdf", "corpus_bge_m3_granite_late_pdf", "pdfs_late_chunking_objetivo-200palabras_max-250_solapamiento-0_granite_pdf"),
+    ("03_granite_corpus", "corpus_granite_standard", "pdfs_standard_objetivo-200palabras_max-250_solapamiento-0_granite"),
+    ("04_bge_m3_overlap_1", "corpus_bge_m3_overlap_1", "pdfs_standard_objetivo-200palabras_max-250_solapamiento-1_bge_m3_overlap_1"),
+    ("05_granite_overlap_1", "corpus_granite_overlap_1", "pdfs_standard_objetivo-200palabras_max-250_solapamiento-1_granite_overlap_1"),
+    ("06_bge_m3_semantic_pdf", "corpus_bge_m3_semantic_pdf", "pdfs_semantic_objetivo-200palabras_max-250_solapamiento-0_bge_m3_semantic"),
+)

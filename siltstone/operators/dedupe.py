@@ -7,7 +7,7 @@ costs a row for each task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions import text as T
@@ -81,13 +81,41 @@ def fingerprint(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(each).alias("fingerprint"))
 
 
-def number_documents(files: DataFrame, group: str, path: str = "path") -> DataFrame:
+def ordered_fingerprint(rows: DataFrame, order: str, record: Column | None = None, per_slice: int = 1 << 16) -> DataFrame:
+    """One row: n_rows and fingerprint, a SHA-256 over all records in order, which any change of a record or of their order changes.
+
+    record is a row's text, by default its JSON with sorted keys. Records are
+    hashed, their hashes by slices of `per_slice` of the long column `order`,
+    the slices' hashes in order; rows of equal order count by their hash. An
+    empty table has the hash of the empty text.
+    """
+    text = F.to_json(F.struct(*sorted(rows.columns))) if record is None else record
+    hashed = rows.select(F.floor(F.col(order) / per_slice).alias("_slice"), F.struct(F.col(order).alias("o"), F.sha2(text, 256).alias("h")).alias("_row"))
+
+    def whole(c: Column) -> Column:
+        return F.sha2(F.array_join(F.transform(F.sort_array(c), lambda x: x["h"]), ""), 256)
+
+    slices = hashed.groupBy("_slice").agg(F.count(F.lit(1)).alias("n"), whole(F.collect_list("_row")).alias("h"))
+    return slices.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), whole(F.collect_list(F.struct(F.col("_slice").alias("o"), "h"))).alias("fingerprint"))
+
+
+def number_documents(files: DataFrame, group: str, path: str = "path", per_slice: int = 100_000) -> DataFrame:
     """Adds doc_id, DOC-000001 and so on, by group and path: numbers go on from one group to the next.
 
-    Files are numbered within their group, groups start where smaller ones
-    end; only the table of groups is seen by one task.
+    Paths are dealt to ranges by a sort of the whole table, so a group of very
+    many files is numbered by many tasks; a range is numbered by itself and
+    goes on where those before it end. Only the table of ranges is seen by one
+    task.
     """
-    n = files.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    start = n.select(group, F.coalesce(F.sum("_n").over(Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
-    own = F.row_number().over(Window.partitionBy(group).orderBy(path))
-    return files.withColumn("_own", own).join(F.broadcast(start), group).withColumn("doc_id", F.format_string("DOC-%06d", F.col("_start") + F.col("_own"))).drop("_own", "_start")
+    n = 1 + files.count() // per_slice
+    bounds = files.select(F.struct(group, path).alias("k")).repartitionByRange(n, "k").groupBy(F.spark_partition_id().alias("p")).agg(F.min("k").alias("k")).orderBy("k").collect()
+    keys = [(r["k"][0], r["k"][1]) for r in bounds][1:]
+    if not keys:
+        ranged = files.withColumn("_range", F.lit(0))
+    else:
+        cuts = F.array(*(F.struct(F.lit(a).alias(group), F.lit(b).alias(path)) for a, b in keys))
+        ranged = files.withColumn("_range", F.aggregate(cuts, F.lit(0), lambda m, c: m + (F.struct(group, path) >= c).cast("int")))
+    start = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    start = start.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(group, path))
+    return ranged.withColumn("_own", own).join(start, "_range").withColumn("doc_id", F.format_string("DOC-%06d", F.col("_start") + F.col("_own"))).drop("_own", "_start", "_range")

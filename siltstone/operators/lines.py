@@ -57,13 +57,13 @@ def tidy(text: Column | str) -> Column:
 def clean(docs: DataFrame, id: str = "doc_id", text: str = "text", format: str | None = None) -> DataFrame:
     """The first cleaning: id, text, repaired (suspicious sequences mended), removed (repeated lines).
 
-    Mends UTF-8 read as Latin-1, drops control characters, page furniture and,
+    Mends UTF-8 read as Latin-1, composes accents (NFC), drops control characters, page furniture and,
     where the column `format` says pdf, bang lines, and tidies blanks. Null
     texts stay null.
     """
     raw = F.col(text)
     mended = T.repair_mojibake(raw)
-    plain = F.replace(T.unix_newlines(mended), F.lit(" "), F.lit(" "))
+    plain = T.nfc(F.replace(T.unix_newlines(mended), F.lit(" "), F.lit(" ")))
     plain = T.sub(plain, r"[\p{C}&&[^\n\t\f]]")
     first = docs.select(id, F.when(F.lower(F.col(format)) == "pdf", True).otherwise(False).alias("_pdf") if format else F.lit(False).alias("_pdf"), plain.alias(text), (T.mojibake_hits(raw) - T.mojibake_hits(mended)).alias("repaired"))
     bare = drop_page_furniture(first, id, text).join(first.select(id, "_pdf", "repaired"), id, "right")

@@ -230,3 +230,8 @@ def chunk_report(candidates: DataFrame, text: str = "texto", section: str | None
     reasons = judged.where("_reason IS NOT NULL").groupBy(F.lit("omitido").alias("what"), F.col("_reason").alias("value")).agg(F.count(F.lit(1)).alias("n"))
     forced = judged.where(F.col("_reason").isNull() & (F.col(kind) != "oracion")).groupBy(F.lit("corte").alias("what"), F.col(kind).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     return totals.unionAll(reasons).unionAll(forced)
+
+
+def alerted_chunks(alerts: DataFrame, id: str = "doc_id", chunk: str = "chunk_id") -> DataFrame:
+    """(id, n): how many chunks of each document have an alert; several alerts of a chunk count once, those of no chunk not at all."""
+    return alerts.groupBy(id).agg(F.count_distinct(F.nullif(F.col(chunk), F.lit(""))).alias("n"))

@@ -128,10 +128,20 @@ def near_pairs(vectors: DataFrame, threshold: float = 0.9, by: str = "query_id",
     return pairs.withColumn("similarity", V.dot("va", "vb")).where(F.col("similarity") >= threshold).drop("va", "vb")
 
 
-def adjacent_similarity(vectors: DataFrame, by: str, order: str, vec: str = "embedding") -> DataFrame:
-    """Adds similarity, the inner product with the next vector of the group."""
-    nxt = F.lead(vec).over(Window.partitionBy(by).orderBy(order))
-    return vectors.withColumn("similarity", V.dot(vec, nxt))
+def adjacent_similarity(vectors: DataFrame, by: str, order: str, vec: str = "embedding", per_slice: int = 4096) -> DataFrame:
+    """Adds similarity, the inner product with the next vector of the group, by the long column `order`.
+
+    A group is cut into slices of `order`, and the first vector of each slice
+    goes to the slice before as well, so a group of very many vectors is no
+    one task's.
+    """
+    sliced = vectors.withColumns({"_slice": F.floor(F.col(order) / per_slice), "_carried": F.lit(False)})
+    heads = sliced.groupBy(by, "_slice").agg(F.min_by(vec, order).alias(vec))
+    before = Window.partitionBy(by).orderBy("_slice")
+    heads = heads.withColumn("_to", F.lag("_slice").over(before)).where("_to IS NOT NULL").select(by, F.col("_to").alias("_slice"), F.lit(True).alias("_carried"), F.col(vec))
+    w = Window.partitionBy(by, "_slice").orderBy("_carried", order)
+    both = sliced.unionByName(heads, allowMissingColumns=True)
+    return both.withColumn("similarity", V.dot(vec, F.lead(vec).over(w))).where("NOT _carried").drop("_slice", "_carried")
 
 
 def graph_candidates(mentions: DataFrame, edges: DataFrame, asked: DataFrame, chunk: str = "chunk_id") -> DataFrame:
@@ -157,6 +167,23 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2, b: f
     return best(scored, k, tie=id).select("query_id", "rank", id, "score")
 
 
+def fit_lists(vectors: DataFrame, lists: int, sample: int = 20_000, rounds: int = 10, seed: int = 42, id: str = "vec_id", vec: str = "embedding") -> list[list[float]]:
+    """Centres of lists by spherical k-means on at most `sample` vectors, the first in a seeded order of id; the driver sees those."""
+    found = vectors.where(F.col(vec).isNotNull()).orderBy(F.xxhash64(F.lit(seed), id), id).limit(sample).select(F.col(vec).cast("array<double>").alias("v")).toArrow()
+    if not found.num_rows:
+        return []
+    v = found["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(found.num_rows, -1)
+    draw = np.random.default_rng(seed)
+    centres = v[draw.choice(len(v), min(lists, len(v)), replace=False)]
+    for _ in range(rounds):
+        own = (v @ centres.T).argmax(axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, own, v)
+        norm = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(norm > 0, sums / np.maximum(norm, 1e-300), centres)
+    return centres.tolist()
+
+
 def assign_lists(vectors: DataFrame, centres: list[list[float]], vec: str = "embedding") -> DataFrame:
     """Adds list, the number of the centre of the largest inner product; the centres are a bounded parameter."""
     scores = F.transform(F.array(*[F.array(*map(F.lit, c)) for c in centres]), lambda c: V.dot(vec, c))

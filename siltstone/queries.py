@@ -285,7 +285,22 @@ def record_chunks(spark, d):
     return records.record_chunks(table(spark, d, "documents"), most=1_000_000)
 
 
-@query()
+@query(
+    rf"""WITH RECURSIVE line AS (SELECT doc_id, i, {CLEAN_LINE} AS r FROM (SELECT doc_id, i, w[i] AS l FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT doc_id, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS w FROM documents)))),
+    sized AS (SELECT doc_id, i, r, string_split(r, ' ') AS w, list_filter(list_transform(string_split(r, '|'), lambda x: trim(x)), lambda x: x <> '') AS fields FROM line WHERE r <> ''),
+    long AS (SELECT * FROM sized WHERE len(w) > 60),
+    field AS (SELECT doc_id, i, j, fields[j] AS t, string_split(fields[j], ' ') AS w FROM (SELECT doc_id, i, fields, unnest(range(1, len(fields) + 1)) AS j FROM long WHERE len(fields) > 1)),
+    part AS (SELECT doc_id, i, j, 0 AS k, t, len(w) AS n, false AS alone FROM field WHERE len(w) <= 60
+      UNION ALL SELECT doc_id, i, j, k, array_to_string(w[k * 60 + 1 : k * 60 + 60], ' '), 0, true FROM (SELECT *, unnest(range(0, (len(w) + 59) // 60)) AS k FROM field WHERE len(w) > 60)),
+    unit AS (SELECT *, row_number() OVER (PARTITION BY doc_id, i ORDER BY j, k) AS u FROM part),
+    fold(doc_id, i, u, grp, cur) AS (SELECT doc_id, i, u, 0, n FROM unit WHERE u = 1
+      UNION ALL SELECT x.doc_id, x.i, x.u, CASE WHEN x.alone OR f.cur = 0 OR f.cur + x.n > 60 THEN f.grp + 1 ELSE f.grp END, CASE WHEN x.alone OR f.cur = 0 OR f.cur + x.n > 60 THEN x.n ELSE f.cur + x.n END FROM fold f JOIN unit x ON x.doc_id = f.doc_id AND x.i = f.i AND x.u = f.u + 1),
+    piece AS (SELECT doc_id, i, 0 AS p, r AS texto FROM sized WHERE len(w) <= 60
+      UNION ALL SELECT doc_id, i, k, array_to_string(w[k * 60 + 1 : k * 60 + 60], ' ') FROM (SELECT *, unnest(range(0, (len(w) + 59) // 60)) AS k FROM long WHERE len(fields) <= 1)
+      UNION ALL SELECT f.doc_id, f.i, f.grp, string_agg(x.t, ' | ' ORDER BY x.u) FROM fold f JOIN unit x ON x.doc_id = f.doc_id AND x.i = f.i AND x.u = f.u GROUP BY ALL)
+    SELECT doc_id, posicion, format('{{:s}}-CH-{{:04d}}', cast(doc_id AS varchar), posicion) AS chunk_id, texto, n AS num_palabras, cast(round_even(1.3::DOUBLE * n, 0) AS bigint) AS num_tokens
+    FROM (SELECT doc_id, texto, len(string_split(texto, ' ')) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY i, p) - 1 AS posicion FROM piece)"""
+)
 def record_chunks_split(spark, d):
     """Records of at most 60 words, cut at bars and else by words."""
     return records.record_chunks(table(spark, d, "documents"), most=60)
@@ -417,7 +432,7 @@ def combmnz(spark, d):
     return _rounded(fusion.comb_mnz(_halves(spark, d)), "score")
 
 
-@query()
+@query(_pooled_sql("avg(score) FILTER (n <= 3)", f"SELECT query_id, vec_id, label, s AS score, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank FROM (SELECT query_id, vec_id, sum(1 / (60.0::DOUBLE + rank)) AS s FROM ({LISTS}) GROUP BY ALL) JOIN embeddings USING (vec_id)"))
 def retrieve_hybrid(spark, d):
     v, _ = _vectors(spark, d)
     return _rounded(retrieval.retrieve_hybrid(_halves(spark, d), _corpus(v))[0], "score")
@@ -433,13 +448,30 @@ def _half_score() -> "F.Column":
     return V.dot(F.slice("qvec", 1, 32), F.slice("embedding", 1, 32))
 
 
-@query()
+def _diverse_sql(recall: int, near: float | None) -> str:
+    """Ten fragments of each query by relevance (half of the dimensions) and diversity; near: first without candidates that are like a better one."""
+    keep = "true" if near is None else "list_contains(kept, vec_id)"
+    return f"""WITH RECURSIVE found AS (SELECT p.query_id, p.vec_id, p.label AS doc_id, p.rank AS recall_rank, p.score AS recall_score, list_dot_product(q.embedding[1:32]::DOUBLE[], e.embedding[1:32]::DOUBLE[]) AS score, e.embedding::DOUBLE[] AS v FROM ({_ranked_sql(recall)}) p JOIN embeddings e USING (vec_id) JOIN embeddings q ON q.vec_id = p.query_id),
+    ordered AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, recall_rank) AS i FROM found),
+    alike AS (SELECT a.query_id, a.vec_id AS a, list(b.vec_id) AS bs FROM ordered a JOIN ordered b ON a.query_id = b.query_id AND a.i > b.i WHERE list_dot_product(a.v, b.v) >= {near or 2} GROUP BY ALL),
+    walk(query_id, step, kept) AS (SELECT query_id, 1, [vec_id] FROM ordered WHERE i = 1
+      UNION ALL SELECT w.query_id, w.step + 1, CASE WHEN list_has_any(coalesce(l.bs, []), w.kept) THEN w.kept ELSE list_append(w.kept, o.vec_id) END FROM walk w JOIN ordered o ON o.query_id = w.query_id AND o.i = w.step + 1 LEFT JOIN alike l ON l.query_id = o.query_id AND l.a = o.vec_id),
+    pool AS (SELECT o.*, CASE WHEN max(score) OVER w = min(score) OVER w THEN 1.0 ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END AS rel FROM ordered o JOIN (SELECT query_id, arg_max(kept, step) AS kept FROM walk GROUP BY 1) USING (query_id) WHERE {keep} WINDOW w AS (PARTITION BY query_id)),
+    sim AS (SELECT a.query_id, a.vec_id AS a, b.vec_id AS b, list_dot_product(a.v, b.v) AS s FROM pool a JOIN pool b ON a.query_id = b.query_id),
+    pick(query_id, step, chosen) AS (SELECT query_id, 1, [arg_min(vec_id, i)] FROM pool GROUP BY query_id
+      UNION ALL SELECT query_id, step + 1, list_append(chosen, vec_id) FROM (SELECT p.query_id, p.step, p.chosen, c.vec_id, row_number() OVER (PARTITION BY p.query_id ORDER BY 0.7::DOUBLE * c.rel - 0.3::DOUBLE * (SELECT max(s) FROM sim WHERE sim.query_id = p.query_id AND a = c.vec_id AND list_contains(p.chosen, b)) DESC, c.i) AS n
+        FROM pick p JOIN pool c ON c.query_id = p.query_id AND NOT list_contains(p.chosen, c.vec_id) WHERE p.step < 10) WHERE n = 1),
+    last AS (SELECT query_id, arg_max(chosen, step) AS chosen FROM pick GROUP BY 1)
+    SELECT pool.query_id, recall_rank, vec_id, round(recall_score, 6) AS recall_score, doc_id, round(score, 6) AS score, list_position(chosen, vec_id) AS rank FROM pool JOIN last USING (query_id) WHERE list_contains(chosen, vec_id)"""
+
+
+@query(_diverse_sql(50, None))
 def retrieve_v2(spark, d):
     v, q = _vectors(spark, d)
     return _rounded(retrieval.retrieve_v2(v, q, _half_score(), _corpus(v))[1].drop("embedding"), "score", "recall_score")
 
 
-@query()
+@query(_diverse_sql(100, 0.4))
 def retrieve_v3(spark, d):
     v, q = _vectors(spark, d)
     return _rounded(retrieval.retrieve_v3(v, q, _half_score(), _corpus(v), near=0.4)[1].drop("embedding"), "score", "recall_score")
@@ -459,7 +491,13 @@ def mmr(spark, d):
     return fusion.mmr(fusion.rerank(found, F.col("recall_score")), 5).select("query_id", "rank", "vec_id")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE pool AS (SELECT p.query_id, p.vec_id, p.score, p.rank, e.embedding::DOUBLE[] AS v FROM ({_ranked_sql(50)}) p JOIN embeddings e USING (vec_id)),
+    alike AS (SELECT a.query_id, a.vec_id AS a, list(b.vec_id) AS bs FROM pool a JOIN pool b ON a.query_id = b.query_id AND a.rank > b.rank WHERE list_dot_product(a.v, b.v) >= 0.35 GROUP BY ALL),
+    walk(query_id, step, kept) AS (SELECT query_id, 1, [vec_id] FROM pool WHERE rank = 1
+      UNION ALL SELECT w.query_id, w.step + 1, CASE WHEN list_has_any(coalesce(l.bs, []), w.kept) THEN w.kept ELSE list_append(w.kept, p.vec_id) END FROM walk w JOIN pool p ON p.query_id = w.query_id AND p.rank = w.step + 1 LEFT JOIN alike l ON l.query_id = p.query_id AND l.a = p.vec_id)
+    SELECT query_id, rank AS recall_rank, vec_id, round(score, 6) AS recall_score, round(score, 6) AS score FROM pool JOIN (SELECT query_id, arg_max(kept, step) AS kept FROM walk GROUP BY 1) USING (query_id) WHERE list_contains(kept, vec_id)"""
+)
 def near_dup_greedy(spark, d):
     """The pool of each query without what is like a better candidate."""
     v, q = _vectors(spark, d)
@@ -667,7 +705,7 @@ def kg_stats(spark, d):
     return graph.statistics(graph.structural_vertices(chunks), graph.structural_edges(chunks))
 
 
-@query()
+@query(f"SELECT src, dst, 'related_to' AS relation, doc_id, chunk_id, 1.0::DOUBLE AS confidence FROM (SELECT doc_id, chunk_id, {NODE} AS src, lead({NODE}) OVER (PARTITION BY chunk_id ORDER BY seq) AS dst FROM ({ENTITIES})) WHERE dst IS NOT NULL")
 def kg_relations(spark, d):
     """Neighbouring entities of a chunk as relations, their ends resolved."""
     mentions = graph.capitalised_entities(_graph_chunks(spark, d))
@@ -765,10 +803,57 @@ def conversation_context(spark, d):
     return rows.select("conv_id", "turn", F.when(F.col("turn") == F.col("first"), F.col("text")).otherwise(F.concat("context", F.lit(" | "), "text")).alias("text"))
 
 
-@query("SELECT count(*) AS n_rows, count(DISTINCT doc_id) AS n_ids FROM documents")
+@query(
+    """SELECT sum(n)::BIGINT AS n_rows, sha256(string_agg(h, '' ORDER BY s)) AS fingerprint FROM (SELECT doc_id // 256 AS s, count(*) AS n, sha256(string_agg(h, '' ORDER BY doc_id, h)) AS h
+    FROM (SELECT doc_id, sha256(concat_ws('|', cast(doc_id AS varchar), lang, source, text)) AS h FROM documents) GROUP BY 1)"""
+)
 def table_fingerprint(spark, d):
-    docs = table(spark, d, "documents")
-    return dedupe.fingerprint(docs).crossJoin(docs.agg(F.count_distinct("doc_id").alias("n_ids"))).select("n_rows", "n_ids")
+    record = F.concat_ws("|", F.col("doc_id").cast("string"), "lang", "source", "text")
+    return dedupe.ordered_fingerprint(table(spark, d, "documents"), "doc_id", record, 256)
+
+
+@query("SELECT doc_id, nfc_normalize(replace(replace(text, 'é', 'e' || chr(769)), 'ñ', 'n' || chr(771))) AS text FROM documents")
+def compose_accents(spark, d):
+    """Texts whose accents were taken apart, composed again."""
+    apart = F.replace(F.replace("text", F.lit("é"), F.lit("e\u0301")), F.lit("ñ"), F.lit("n\u0303"))
+    return table(spark, d, "documents").select("doc_id", T.nfc(apart).alias("text"))
+
+
+@query("SELECT doc_id, coalesce(nullif(CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 3 = 1 THEN '' ELSE text END, ''), CASE WHEN doc_id % 2 = 0 THEN source END, '') AS text FROM documents")
+def result_texts(spark, d):
+    """Results whose text is null, empty or there, with another field to fall back on in half of them."""
+    text = F.when(F.col("doc_id") % 3 == 0, None).when(F.col("doc_id") % 3 == 1, "").otherwise(F.col("text"))
+    rows = table(spark, d, "documents").select("doc_id", text.alias("text"), F.when(F.col("doc_id") % 2 == 0, F.col("source")).alias("texto"))
+    return rows.select("doc_id", T.result_text("text", "texto").alias("text"))
+
+
+_FOLDERS = "CASE n " + " ".join(f"WHEN {i} THEN '{own[2]}'" for i, own in enumerate(T.W.EXPERIMENTS)) + " END"
+_CORPORA = "CASE n " + " ".join(f"WHEN {i} THEN '{own[1]}'" for i, own in enumerate(T.W.EXPERIMENTS)) + " END"
+
+
+@query(f"SELECT n_nationkey, coalesce({_FOLDERS}, n_name) AS folder, coalesce({_CORPORA}, n_name) AS corpus FROM (SELECT *, n_nationkey % 8 AS n FROM nation)")
+def experiment_names(spark, d):
+    """Rows that name an experiment by its configuration or its corpus, and some that name none."""
+    name = F.col("n_name")
+    for i, own in enumerate(T.W.EXPERIMENTS):
+        name = F.when(F.col("n_nationkey") % 8 == i, own[0] if i % 2 else own[1]).otherwise(name)
+    rows = table(spark, d, "nation").select("n_nationkey", T.chunk_folder(name).alias("folder"))
+    return rows.select("n_nationkey", "folder", T.corpus_name("folder").alias("corpus"))
+
+
+@query("SELECT conv_id, count(DISTINCT CASE WHEN turn % 3 > 0 THEN role END) AS n FROM conversations GROUP BY 1")
+def alerted_chunks(spark, d):
+    """Turns as alerts, their roles as chunks; each third turn is an alert of no chunk."""
+    alerts = table(spark, d, "conversations").select("conv_id", F.when(F.col("turn") % 3 > 0, F.col("role")).alias("role"))
+    return packing.alerted_chunks(alerts, "conv_id", "role")
+
+
+@query(f"SELECT query_id, rank, vec_id, round(score, 6) AS score FROM ({_ranked_sql(10)})")
+def ivf_all_lists(spark, d):
+    """Search over fitted lists, all of them probed, which is exact search."""
+    v, q = _vectors(spark, d)
+    centres = search.fit_lists(v, 8)
+    return _rounded(search.ivf_topk(v, q, centres, 10, len(centres)), "score")
 
 
 # -- relations and events --
@@ -829,7 +914,7 @@ def chunk_totals(spark, d):
     return packing.chunk_report(each.select("doc_id", F.col("text").alias("texto"), F.col("kind").alias("separado_por")))
 
 
-@query()
+@query(f"{PACKED} SELECT doc_id, posicion, format('{{:s}}-CH-{{:04d}}', cast(doc_id AS varchar), posicion) AS chunk_id, texto, n AS num_palabras FROM piece UNION ALL SELECT doc_id, 0, doc_id || '-CH-0000', '', 0 FROM documents WHERE {FLAT} = ''")
 def streamed_chunks(spark, d):
     """The packing that streams run, over a table."""
     return streams.chunk_stream(table(spark, d, "documents"))

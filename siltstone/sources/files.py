@@ -120,7 +120,8 @@ def extract(files: DataFrame, readers: dict[str, Reader] | None = None) -> DataF
     """(path, text, method, warnings, metadata) of scanned files, each by the reader of its format.
 
     A file that its reader can't read, or whose reader lacks a library, has
-    the text '' and a warning; it fails no task.
+    the text '' and a warning; it fails no task. Lone surrogates become ? and
+    are counted in a warning and as surrogates in metadata.
     """
     ship(files.sparkSession)
     readers = readers or default_readers()
@@ -136,7 +137,11 @@ def extract(files: DataFrame, readers: dict[str, Reader] | None = None) -> DataF
                     text, metadata, warnings = "", {}, [f"[CRITICO] falta {e.name}"]
                 except Exception as e:  # noqa: BLE001 - any file may be broken in any way
                     text, metadata, warnings = "", {}, [f"[CRITICO] {type(e).__name__}: {e}"]
-                text = text.encode("utf-8", "replace").decode()
+                broken = sum("\ud800" <= c <= "\udfff" for c in text) if not text.isascii() else 0
+                if broken:
+                    text = text.encode("utf-8", "replace").decode()
+                    warnings = [*warnings, f"[AVISO] {broken} sustitutos sueltos reemplazados"]
+                    metadata = {**metadata, "surrogates": str(broken)}
                 rows.append((path, text, kind, warnings, list(metadata.items())))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
             kinds = (pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.map_(pa.string(), pa.string()))
@@ -162,13 +167,30 @@ def tiles_from_table(files: DataFrame, table: DataFrame, skip: tuple[str, ...] =
     return joined.groupBy("path").agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("text"))
 
 
-def resolve_paths(records: DataFrame, files: DataFrame, candidates: list[Column], key: str = "doc_id") -> DataFrame:
-    """records with path: the first of the candidate paths that exists; else the only file of the same name, else null."""
+def resolve_paths(records: DataFrame, files: DataFrame, candidates: list[Column], key: str = "doc_id", strict: bool = False) -> DataFrame:
+    """records with path: the first of the candidate paths that exists; else the only file of the same name, else null. strict: several files of that name, or none, are an error."""
     tried = records.select(key, F.posexplode(F.array(*candidates)).alias("_n", "path")).join(files.select("path").distinct(), "path")
     first = tried.groupBy(key).agg(F.min_by("path", "_n").alias("_path"))
-    names = files.select(T.basename("path").alias("_name"), "path").groupBy("_name").agg(F.count(F.lit(1)).alias("_n"), F.min("path").alias("_only")).where("_n = 1")
-    named = records.select(key, T.basename(F.coalesce(*candidates)).alias("_name")).join(names, "_name").select(key, "_only").dropDuplicates([key])
-    return records.join(first, key, "left").join(named, key, "left").withColumn("path", F.coalesce("_path", "_only")).drop("_path", "_only")
+    names = files.select(T.basename("path").alias("_name"), "path").groupBy("_name").agg(F.count(F.lit(1)).alias("_n"), F.min("path").alias("_only"))
+    named = records.select(key, T.basename(F.coalesce(*candidates)).alias("_name")).join(names, "_name").select(key, F.when(F.col("_n") == 1, F.col("_only")).alias("_only"), "_n").dropDuplicates([key])
+    found = records.join(first, key, "left").join(named, key, "left")
+    path = F.coalesce("_path", "_only")
+    if strict:
+        path = F.coalesce(path, F.raise_error(F.concat(F.lit("no one file for "), F.col(key).cast("string"), F.lit(": "), F.coalesce("_n", F.lit(0)).cast("string"), F.lit(" of its name"))).cast("string"))
+    return found.withColumn("path", path).drop("_path", "_only", "_n")
+
+
+def result_files(files: DataFrame) -> DataFrame:
+    """(dir, path) of result files: resultado.json, resultados.json and those with an ending after a _, whatever their case, by name. Folders of other than letters, digits, _ and - hold none."""
+    each = files.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("dir"), T.basename("path").alias("name"), "path")
+    good = F.col("name").rlike(r"(?i)^resultados?(_.*)?\.json$") & F.col("dir").rlike("(^|/)[A-Za-z0-9_-]+$")
+    return each.where(good).orderBy("dir", F.lower("name")).select("dir", "path")
+
+
+def metadata_files(files: DataFrame) -> DataFrame:
+    """(dir, path): of each folder metadata.jsonl, else the first metadata*.jsonl."""
+    each = files.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("dir"), T.basename("path").alias("name"), "path").where(F.col("name").rlike(r"^metadata.*\.jsonl$"))
+    return each.groupBy("dir").agg(F.min_by("path", F.struct(F.col("name") != "metadata.jsonl", "name")).alias("path"))
 
 
 def pair_indexes(files: DataFrame, index: str, metadata: str, hint: str | None = None) -> DataFrame:

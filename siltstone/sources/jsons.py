@@ -86,6 +86,15 @@ def read_lines(spark: SparkSession, path: str, schema: StructType | str | None =
     return (reader.schema(schema) if schema else reader).json(path)
 
 
+def read_records(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """JSON lines, blank ones skipped; a line that is no object is an error that names its file and line."""
+    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split(F.regexp_replace("value", "^\ufeff", ""), "\r?\n")).alias("n", "line")).where(F.trim("line") != "")
+    bad = ~F.coalesce(F.trim("line").startswith("{") & F.try_parse_json("line").isNotNull(), F.lit(False))
+    named = F.concat("file", F.lit(":"), (F.col("n") + 1).cast("string"), F.lit(": no JSON object"))
+    checked = F.when(bad, F.raise_error(named).cast("string")).otherwise(F.col("line"))
+    return lines.select(F.from_json(checked, schema).alias("r")).select("r.*")
+
+
 def read_any(spark: SparkSession, path: str) -> DataFrame:
     """An array, an object or JSON lines: lines, if the first that isn't blank is a whole object, else whole files."""
     line = F.trim(F.regexp_replace("value", "^﻿", ""))
