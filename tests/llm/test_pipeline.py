@@ -1,7 +1,10 @@
+import random
 import sys
+import zlib
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parents[2]))
@@ -60,7 +63,49 @@ def test_stages(spark, sf_dir):
             assert len({r["sequence_id"] for r in after}) <= -(-sizes // 4096) + 1
 
 
-def test_run(spark, sf_dir):
+def test_run_is_the_stages_one_after_another(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, sf_dir).collect(), SCHEMA)
+    tokenizer = encoder(default_path()).tokenizer
+    want = Counter()
+    for r in docs.collect():
+        ids = [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 1]
+        for k in range(0, len(ids), 4096):
+            part = ids[k : k + 4096]
+            want[(r["doc_id"], k // 4096, k, len(part), zlib.crc32(np.array(part, "<u4").tobytes()))] += 1
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    assert out.count() > 100
+    got = out.collect()
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == want
+    at = {}
+    for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == at.get(r["sequence_id"], 0)
+        at[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(at.values()) <= 4096
+
+
+WIDE = SCHEMA + ", size long, same long, mark long, score double, y int"
+
+
+def odd_rows():
+    draw = random.Random(8)
+    long = " ".join(f"{w}{draw.randrange(99)}" for w in ["word", "thing", "place"] * 20_000)
+    rows = [(1, long, "en", "a"), (2, long + " tail", "en", "a"), (3, None, None, None), (4, "", "en", None), (5, " \n", None, "b"), (None, "no id at all here", "en", "a"), (7, "x" * 3000, "en", "b"), (8, "tie one two three four five", "en", "b"), (9, "tie one two three four five", "en", "b"), (9, "tie one two three four five", "en", "b")]
+    return [(*r, 1, 2, 3, 4, 0.5, 6) for r in rows]
+
+
+@pytest.mark.parametrize("kind", ["empty", "odd"])
+def test_stages_bear_odd_rows(spark, sf_dir, kind):
+    """An empty table, and nulls, long texts, ties, repeated rows, rows without an id and columns that operators use themselves."""
+    docs = spark.createDataFrame([] if kind == "empty" else odd_rows(), WIDE)
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs.count()
+        docs = stage(spark, docs, sf_dir).cache()
+        if kind == "empty":
+            assert docs.count() == 0
+        if name != "packing":
+            assert docs.schema.names == spark.createDataFrame([], WIDE).schema.names
+        if name == "near_copies" and kind == "odd":
+            ids = [r["doc_id"] for r in docs.collect()]
+            assert len(ids) == len(set(ids)) and 2 not in ids and None in ids and before > len(ids)
