@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltstone.functions import vectors as V
-from siltstone.operators import embed, fusion, metrics, search, validate
+from siltstone.operators import embed, fusion, graph, metrics, search, validate
 from siltstone.plans import evaluation, retrieval
 
 
@@ -284,3 +284,36 @@ def test_parameters():
     for bad in ({"k": 0}, {"weight": 1.1}, {"near": -1}, {"target": 0}, {"target": 260}, {"mode": "x"}, {"mode": "semantic", "overlap": 1}):
         with pytest.raises(ValueError):
             validate.check_parameters(**bad)
+
+
+def test_neighbours_over_slices_of_one_group(spark):
+    draw = np.random.default_rng(1)
+    rows = [("one", i, draw.normal(size=4).tolist()) for i in range(0, 300, 3)] + [("two", 5, [1.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "g string, n long, embedding array<double>")
+    got = {(r["g"], r["n"]): r["similarity"] for r in search.adjacent_similarity(df, "g", "n", per_slice=16).collect()}
+    assert len(got) == len(rows) and got["two", 5] is None and got["one", 297] is None
+    for (_, n, v), (_, _, w) in zip(rows[:-2], rows[1:-1], strict=True):
+        assert got["one", n] == pytest.approx(float(np.dot(v, w)))
+
+
+def test_one_label_of_most_mentions_is_resolved_over_slices(spark):
+    mentions = [(i, 0, "d", "c", "The", "location" if i < 40 else "person") for i in range(0, 80, 2)] + [(90, 0, "d", "c", "Rare", "person")]
+    m = spark.createDataFrame(mentions, "row_no long, seq int, doc_id string, chunk_id string, label string, kind string")
+    asked = spark.createDataFrame([(i, "the") for i in range(0, 100, 3)] + [(5, "rare"), (95, "Rare"), (1, "none")], "row_no long, label string")
+    got = {(r["row_no"], r["label"]): r["node"] for r in graph.resolve(asked, m, per_slice=7).collect()}
+    whole = {(r["row_no"], r["label"]): r["node"] for r in graph.resolve(asked, m).collect()}
+    assert got == whole and got[39, "the"].startswith("location:") and got[99, "the"].startswith("person:")
+    assert got[5, "rare"].startswith("entity:") and got[95, "Rare"].startswith("person:")
+
+
+def test_fitted_lists(spark):
+    draw = np.random.default_rng(2)
+    rows = [(i, (v := draw.normal(size=6)) / np.linalg.norm(v)) for i in range(200)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    q = df.where("vec_id % 20 = 0").selectExpr("vec_id AS query_id", "embedding AS qvec")
+    centres = search.fit_lists(df, 5)
+    assert len(centres) == 5 and centres == search.fit_lists(df.repartition(3), 5)
+    exact = {tuple(r)[:3] for r in search.exact_topk(df, q, 5).collect()}
+    assert {tuple(r)[:3] for r in search.ivf_topk(df, q, centres, 5, 5).collect()} == exact
+    some = {tuple(r)[:3] for r in search.ivf_topk(df, q, centres, 5, 2).collect()}
+    assert some and len({x[::2] for x in some} & {x[::2] for x in exact}) > 0.3 * len(exact)

@@ -257,3 +257,59 @@ def test_chunk_report(spark):
     rows = spark.createDataFrame([(1, long, "oracion"), (1, "short", "oracion"), (2, "1 2 3 " * 6, "suboracion"), (3, long, "suboracion")], "doc_id long, texto string, separado_por string")
     got = {(r["what"], r["value"]): r["n"] for r in packing.chunk_report(rows).collect()}
     assert got == {("total", "documentos"): 3, ("total", "sin_chunks"): 1, ("omitido", "corto"): 1, ("omitido", "ruido_numerico"): 1, ("corte", "suboracion"): 1}
+
+
+def test_result_and_metadata_files(spark):
+    names = ["a/resultado.json", "a/Resultados_v2.JSON", "a/resultadox.json", "b c/resultado.json", "a/metadata.jsonl", "a/metadata_1.jsonl", "b/metadata_2.jsonl", "b/metadata_10.jsonl", "a/other.txt"]
+    rows = spark.createDataFrame([(n,) for n in names], "path string")
+    assert [r["path"] for r in files.result_files(rows).collect()] == ["a/resultado.json", "a/Resultados_v2.JSON"]
+    assert {tuple(r) for r in files.metadata_files(rows).collect()} == {("a", "a/metadata.jsonl"), ("b", "b/metadata_10.jsonl")}
+
+
+def test_broken_lines_are_named(spark, tmp_path):
+    (tmp_path / "good.jsonl").write_text('﻿{"a": 1}\n\n  \n{"a": 2}\n')
+    assert sorted(r["a"] for r in jsons.read_records(spark, f"file://{tmp_path}/good.jsonl", "a int").collect()) == [1, 2]
+    for bad in ('{"a": 1}\n\n{"a": \n', '{"a": 1}\n\n[1]\n'):
+        (tmp_path / "bad.jsonl").write_text(bad)
+        with pytest.raises(Exception, match=r"bad\.jsonl:3"):
+            jsons.read_records(spark, f"file://{tmp_path}/bad.jsonl", "a int").collect()
+
+
+def test_ambiguous_names_are_an_error_if_asked(spark):
+    found = spark.createDataFrame([("r/x/a.txt",), ("r/y/a.txt",), ("r/z/b.txt",)], "path string")
+    records = spark.createDataFrame([(1, "a.txt"), (2, "b.txt")], "doc_id int, name string")
+    tried = [F.concat(F.lit("q/"), "name")]
+    assert {r["doc_id"]: r["path"] for r in files.resolve_paths(records, found, tried).collect()} == {1: None, 2: "r/z/b.txt"}
+    with pytest.raises(Exception, match="no one file for 1: 2 of its name"):
+        files.resolve_paths(records, found, tried, strict=True).collect()
+
+
+def test_lone_surrogates_are_counted(spark):
+    rows = spark.createDataFrame([("p", "txt", b"x")], "path string, formato string, content binary")
+    got = files.extract(rows, {"txt": lambda _: ("a\ud800b\udc01", {})}).first()
+    assert got["text"] == "a?b?" and got["metadata"]["surrogates"] == "2" and "2 sustitutos" in got["warnings"][0]
+
+
+def test_ordered_fingerprint(spark):
+    import hashlib
+
+    rows = [(i, f"t{i}") for i in range(50)] + [(7, "again")]
+    df = spark.createDataFrame(rows, "n long, t string")
+
+    def sha(x):
+        return hashlib.sha256(x.encode()).hexdigest()
+
+    slices = {}
+    for n, t in rows:
+        slices.setdefault(n // 16, []).append((n, sha('{"n":%d,"t":"%s"}' % (n, t))))
+    want = sha("".join(sha("".join(h for _, h in sorted(x))) for _, x in sorted(slices.items())))
+    assert tuple(dedupe.ordered_fingerprint(df.repartition(5), "n", per_slice=16).first()) == (51, want)
+    assert dedupe.ordered_fingerprint(df.where("n <> 9"), "n", per_slice=16).first()["fingerprint"] != want
+    assert dedupe.ordered_fingerprint(df.limit(0), "n").first()["fingerprint"] == sha("")
+
+
+def test_documents_of_one_group_are_numbered_in_ranges(spark):
+    rows = [("big", f"p{i:04d}") for i in range(400)] + [("a", "x"), (None, "n"), ("z", "y")]
+    got = dedupe.number_documents(spark.createDataFrame(rows, "g string, path string").repartition(7), "g", per_slice=50).collect()
+    want = {r: f"DOC-{k + 1:06d}" for k, r in enumerate(sorted(rows, key=lambda r: (r[0] is not None, r)))}
+    assert {(r["g"], r["path"]): r["doc_id"] for r in got} == want
