@@ -78,43 +78,45 @@ def block_arrays(found: DataFrame, id: str = "doc_id") -> DataFrame:
     return found.groupBy(id).agg(F.transform(rows, lambda r: F.struct(r["block"].alias("block"), r["section"].alias("section"))).alias("blocks"))
 
 
-def _fold(array: Column, join) -> Column:
-    """Left to right over (block, section): join(previous, current) gives what takes the previous one's place, or null if the current one is to follow it."""
-    empty = F.array().cast("array<struct<block:string,section:string>>")
+def _without_last(array: Column) -> Column:
+    return F.slice(array, 1, F.size(array) - 1)
 
-    def step(out: Column, x: Column) -> Column:
-        last = F.element_at(out, -1)
-        merged = join(last, x)
-        return F.when((F.size(out) > 0) & merged.isNotNull(), F.concat(F.slice(out, 1, F.size(out) - 1), F.array(merged))).otherwise(F.concat(out, F.array(x)))
 
-    return F.aggregate(array, empty, step)
+def _bare(array: Column) -> Column:
+    return F.transform(array, lambda x: F.struct(x["block"].alias("block"), x["section"].alias("section")))
 
 
 def drop_adjacent_copies(array: Column | str) -> Column:
     """Blocks without those that repeat the block before in the same section, but for markup, case and punctuation, or that it holds; of two the longer stays.
 
     One holds the other if the shorter has eight words and markup or 0.35 of
-    the longer's length.
+    the longer's length. What is compared is found once for each block.
     """
+    known = F.transform(T.col(array), lambda x: F.struct(x["block"].alias("block"), x["section"].alias("section"), T.block_key(x["block"]).alias("key"), T.word_count(x["block"]).alias("words"), x["block"].rlike("[*_`]").alias("marked")))
+    empty = F.array().cast("array<struct<block:string,section:string,key:string,words:int,marked:boolean>>")
 
-    def held(small: Column, large: Column, small_key: Column, large_key: Column) -> Column:
-        enough = small["block"].rlike("[*_`]") | (F.length(small_key) / F.length(large_key) >= 0.35)
-        return (T.word_count(small["block"]) >= 8) & large_key.contains(small_key) & enough
+    def held(small: Column, large: Column) -> Column:
+        enough = small["marked"] | (F.length(small["key"]) / F.length(large["key"]) >= 0.35)
+        return (small["words"] >= 8) & enough & large["key"].contains(small["key"])
 
-    def join(previous: Column, x: Column) -> Column:
-        a, b = T.block_key(previous["block"]), T.block_key(x["block"])
-        comparable = previous["section"].eqNullSafe(x["section"]) & (a != "") & (b != "")
-        return F.when(comparable & ((a == b) | held(x, previous, b, a)), previous).when(comparable & held(previous, x, a, b), x)
+    def step(out: Column, x: Column) -> Column:
+        last = F.element_at(out, -1)
+        comparable = (F.size(out) > 0) & last["section"].eqNullSafe(x["section"]) & (last["key"] != "") & (x["key"] != "")
+        return F.when(comparable & ((last["key"] == x["key"]) | held(x, last)), out).when(comparable & held(last, x), F.concat(_without_last(out), F.array(x))).otherwise(F.concat(out, F.array(x)))
 
-    return _fold(T.col(array), join)
+    return _bare(F.aggregate(known, empty, step))
 
 
 def group_paragraphs(array: Column | str, most: int = 250, least: int = 15) -> Column:
     """Blocks joined to the one before, in the same section and up to `most` words, if they go on with it or either has at most `least` words."""
+    known = F.transform(T.col(array), lambda x: F.struct(x["block"].alias("block"), x["section"].alias("section"), T.word_count(x["block"]).alias("words")))
+    empty = F.array().cast("array<struct<block:string,section:string,words:int>>")
 
-    def join(previous: Column, x: Column) -> Column:
-        a, b = T.word_count(previous["block"]), T.word_count(x["block"])
-        ok = previous["section"].eqNullSafe(x["section"]) & (a + b <= most) & ((a <= least) | (b <= least) | T.continues(previous["block"], x["block"]))
-        return F.when(ok, F.struct(F.concat(previous["block"], F.lit("\n\n"), x["block"]).alias("block"), previous["section"].alias("section")))
+    def step(out: Column, x: Column) -> Column:
+        last = F.element_at(out, -1)
+        short = (last["words"] <= least) | (x["words"] <= least)
+        ok = (F.size(out) > 0) & last["section"].eqNullSafe(x["section"]) & (last["words"] + x["words"] <= most) & (short | T.continues(last["block"], x["block"]))
+        joined = F.struct(F.concat(last["block"], F.lit("\n\n"), x["block"]).alias("block"), last["section"].alias("section"), (last["words"] + x["words"]).alias("words"))
+        return F.when(ok, F.concat(_without_last(out), F.array(joined))).otherwise(F.concat(out, F.array(x)))
 
-    return _fold(T.col(array), join)
+    return _bare(F.aggregate(known, empty, step))
