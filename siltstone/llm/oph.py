@@ -75,41 +75,55 @@ def edited(text: str, after: str) -> str:
     return text[: len(text) - n] + after[:n]
 
 
+def cuts_of(keys: list[int], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where ranges of (key, sub) begin, the first one's beginning left out, from quantiles of keys: a key that holds several quantiles is cut by sub, a hash, into as many parts."""
+    found, times = np.unique(np.array(keys, np.int64), return_counts=True)
+    out = [(int(k), -(1 << 63) + (j << 64) // int(n + 1)) for k, n in zip(found, times, strict=True) for j in range(int(n) + 1 if n > 1 else 1)]
+    out = [x for x in out if x != (least, -(1 << 63))]
+    return np.array([k for k, _ in out], np.int64), np.array([x for _, x in out], np.int64)
+
+
+def range_at(cut_keys: np.ndarray, cut_subs: np.ndarray, keys: np.ndarray, subs: np.ndarray) -> np.ndarray:
+    """Which range each (key, sub) is in."""
+    at = np.searchsorted(cut_keys, keys, side="left")
+    for k in np.unique(cut_keys[np.isin(cut_keys, keys)]):
+        own = keys == k
+        at[own] += np.searchsorted(cut_subs[cut_keys == k], subs[own], side="right")
+    return at
+
+
 def fingerprint_pairs(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The next document is the one of the next larger doc_id, after the last the
-    first; rows of equal doc_id follow each other by text, null ids come
-    before all others and null texts count as empty. A lone document follows
-    itself. An empty table gives an empty result. Other columns are not read.
-
-    Documents are dealt to ranges of doc_id; the first of each range goes to
-    the range before it too, so each text is shuffled once.
+    first; rows of equal doc_id follow each other by a hash of their text, null
+    ids come before all others and null texts count as empty. A lone document
+    follows itself. An empty table gives an empty result. Other columns are not
+    read.
+
+    Documents are dealt to ranges of (doc_id, hash), so that many rows of one
+    id, or of none, are many ranges; the first row of each range goes to the
+    range before it too. Each text is shuffled once.
     """
     spark = docs.sparkSession
     ship(spark)
     n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    cuts = docs.agg(F.min("key").alias("least"), F.percentile_approx("key", [i / n for i in range(1, n)], 10 * n).alias("cuts")).first()
-    least = cuts["least"]
-    bounds = np.array(sorted({x for x in cuts["cuts"] or [] if x != least}), np.int64)
-
-    @F.pandas_udf("long")
-    def range_of(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, key.to_numpy(), side="right"))
+    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).withColumns({"key": F.coalesce("doc_id", F.lit(-(1 << 63))), "sub": F.xxhash64("text")})
+    found = docs.agg(F.min("key").alias("least"), F.percentile_approx("key", [i / n for i in range(1, n)], 10 * n).alias("cuts")).first()
+    cut_keys, cut_subs = cuts_of(found["cuts"] or [], found["least"])
 
     @F.pandas_udf("long")
-    def also_to(key: pd.Series) -> pd.Series:
-        keys = key.to_numpy()
-        at = np.searchsorted(bounds, keys, side="right")
-        found = np.where(at > 0, np.concatenate(([0], bounds))[at] == keys, False)
-        return pd.Series(np.where(keys == least, len(bounds), np.where(found, at - 1, -1)))
-
-    own = F.struct(F.col("own").alias("range"), F.lit(False).alias("ahead"))
-    ahead = F.struct(F.col("also").alias("range"), F.lit(True).alias("ahead"))
-    dealt = docs.withColumns({"own": range_of("key"), "also": also_to("key")})
-    dealt = dealt.select("doc_id", "text", "key", F.inline(F.when(F.col("also") >= 0, F.array(own, ahead)).otherwise(F.array(own))))
-    dealt = dealt.repartition(n, "range").sortWithinPartitions("range", "ahead", "key", "text")
+    def range_of(key: pd.Series, sub: pd.Series) -> pd.Series:
+        return pd.Series(range_at(cut_keys, cut_subs, key.to_numpy(), sub.to_numpy()))
+
+    ranged = docs.withColumn("range", range_of("key", "sub"))
+    firsts = sorted((r["range"], r["m"]["key"], r["m"]["sub"]) for r in ranged.groupBy("range").agg(F.min(F.struct("key", "sub")).alias("m")).collect())
+    before = [firsts[k - 1][0] for k in range(len(firsts))]  # of the first the last
+    marks = spark.createDataFrame([(k, x, to) for (_, k, x), to in zip(firsts, before, strict=True)], "key long, sub long, range long")
+    ahead = docs.join(F.broadcast(marks), ["key", "sub"]).groupBy("range", "key", "sub").agg(F.first("doc_id").alias("doc_id"), F.min("text").alias("text"))
+    columns = ("doc_id", "text", "key", "sub", "range")
+    dealt = ranged.select(*columns, F.lit(False).alias("ahead")).unionAll(ahead.select(*columns, F.lit(True)))
+    dealt = dealt.repartition(n, "range").sortWithinPartitions("range", "ahead", "key", "sub", "text")
 
     def work(batches):
         held = None  # the last row and its sketch
