@@ -63,3 +63,23 @@ def test_nulls_repeats_single_empty(spark, docs, rows, empty):
     assert len(one) == 1 and one[0]["near_next"] == 1.0
     none = oph.sketches([b"", b" \t"])
     assert not none.any() and oph.likeness(none[0], none[1]) == 1.0
+
+
+def test_a_third_without_id_are_many_ranges(spark):
+    rows = [(None, f"text {i} of none") for i in range(300)] + [(5, f"five {i}") for i in range(200)] + [(i, f"doc {i}") for i in range(100, 500)]
+    got = oph.fingerprint_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    ids = [r["doc_id"] for r in got]
+    assert ids.count(None) == 300 and ids.count(5) == 200
+    # Each row has the edit by the next one in a ring of all rows: edited texts name a successor each, and no successor twice.
+    texts = [t for _, t in rows]
+    by_hash = {}
+    for t in texts:
+        for u in texts:
+            by_hash.setdefault(hashlib.sha256(oph.edited(t, u).encode()).hexdigest(), set()).add(t)
+    for r in got:
+        assert r["edited_sha256"] in by_hash
+    keys, subs = oph.cuts_of([-5, -5, -5, 7, 9], -5)
+    assert list(zip(keys, subs))[-2:] == [(7, -(1 << 63)), (9, -(1 << 63))] and (keys == -5).sum() == 3
+    at = oph.range_at(keys, subs, np.array([-5, -5, 6, 7, 100]), np.array([-(1 << 63), (1 << 63) - 1, 0, 0, 0]))
+    assert at.tolist() == [0, 3, 3, 4, 5]
