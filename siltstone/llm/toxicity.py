@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import crc_mod, map_arrow, mix, places, table, texts_of, word_sums
-from siltstone.llm.labelled import logistic, sample
+from siltstone.llm.labelled import arranged, chosen, logistic
 from siltstone.llm.quality import ROUND, pieces
 
 #: Code points of the longest beginning of a word that is counted.
@@ -288,8 +288,17 @@ def spans(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
-    """A model from the labelled rows whose crc32(doc_id) mod 3 is not 1, at most per_class of each class."""
-    return fit(*sample(docs, labels, "toxic", crc_mod(F.col("doc_id"), 3) != 1, per_class))
+    """A model from the labelled rows whose crc32(doc_id) mod 3 is not 1, at most per_class of each class. One task reads the sample; the driver gets the model."""
+    rows, sizes = chosen(docs, labels, "toxic", crc_mod(F.col("doc_id"), 3) != 1, per_class)
+
+    def work(batches):
+        held = [r for b in batches for r in zip(b["doc_id"].to_pylist(), b["y"].to_pylist(), b["text"].to_pylist(), strict=True)]
+        model = fit(*arranged(held, sizes))
+        numbers = [model.rest, model.rate, model.k, model.slope, model.intercept]
+        yield {"keys": pa.array([model.keys.tobytes()], pa.binary()), "odds": pa.array([model.values.tobytes()], pa.binary()), "numbers": pa.array([numbers], pa.list_(pa.field("element", pa.float64())))}
+
+    got = map_arrow(rows.repartition(1), work, "keys binary, odds binary, numbers array<double>").first()
+    return Model(np.frombuffer(got["keys"], np.uint64), np.frombuffer(got["odds"], np.float64), *got["numbers"]) if got else fit([], np.zeros(0, np.int64), np.zeros(0))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
