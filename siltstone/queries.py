@@ -214,9 +214,21 @@ def text_blocks(spark, d):
     return segment.blocks(table(spark, d, "documents"))
 
 
-@query()
+BANG_SQL = T.W.BANG_LINE.replace("'", "''")
+
+
+@query(
+    rf"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(string_agg(trim(regexp_replace(line, '[ \t]+', ' ', 'g')), chr(10) ORDER BY i), '\n{{3,}}', chr(10) || chr(10), 'g'), '^\s+', ''), '\s+$', '') AS text, 0::BIGINT AS repaired, 0::BIGINT AS removed FROM (
+    SELECT doc_id, i, w[i] AS line FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT doc_id, string_split(regexp_replace(nfc_normalize(replace(replace(replace(text, '. ', '.' || chr(10) || '!!  ' || chr(10)), ', ', ',' || chr(10) || ' Página 12' || repeat(chr(10), 4)), 'é', 'e' || chr(769))), '[^\P{{C}}\n\t\f]', '', 'g'), chr(10)) AS w FROM documents)))
+    WHERE NOT regexp_full_match(trim(line), '(?i)(?:página|page)?\s*[-–—]?\s*\d{{1,4}}\s*') AND NOT (doc_id % 2 = 0 AND regexp_matches(trim(line), '{BANG_SQL}')) GROUP BY doc_id"""
+)
 def clean_first_pass(spark, d):
-    return lines.clean(table(spark, d, "documents"))
+    """Documents with accents apart, page numbers and bang lines, which go from every second one, a PDF."""
+    broken = F.replace(F.replace("text", F.lit(". "), F.lit(".\n!!  \n")), F.lit(", "), F.lit(",\n Página 12\n\n\n\n"))
+    broken = F.replace(broken, F.lit("é"), F.lit("e\u0301"))
+    docs = table(spark, d, "documents").select("doc_id", broken.alias("text"), F.when(F.col("doc_id") % 2 == 0, "PDF").otherwise("txt").alias("formato"))
+    cleaned = lines.clean(docs, format="formato")
+    return cleaned.withColumns({n: F.col(n).cast("long") for n in ("repaired", "removed")})
 
 
 @query()
