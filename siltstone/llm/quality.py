@@ -133,12 +133,14 @@ class Bags:
 def bags_of(texts: list[str], bits: int = BUCKET_BITS) -> Bags:
     found = [np.unique((owners << bits) + rows, return_counts=True) for rows, owners in features(texts, bits)]
     code = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in found)])
-    n = np.concatenate([np.zeros(0, np.int64), *(x for _, x in found)])
-    names, at = np.unique(code, return_inverse=True)  # a long text's parts fall together
-    n = np.bincount(at, n, len(names))
-    owner = names >> bits
-    total = np.bincount(owner, n, len(texts))
-    return Bags((names & (1 << bits) - 1).astype(np.int32), (n / total[owner]).astype(np.float32), np.searchsorted(owner, np.arange(len(texts) + 1)))
+    n = np.concatenate([np.zeros(0, np.int32), *(x.astype(np.int32) for _, x in found)])
+    del found
+    if len(code) and (np.diff(code) <= 0).any():  # a long text's parts fall together
+        code, at = np.unique(code, return_inverse=True)
+        n = np.bincount(at, n, len(code)).astype(np.int32)
+    owner = (code >> bits).astype(np.int32)
+    total = np.bincount(owner, n, len(texts)).astype(np.float32)
+    return Bags((code & (1 << bits) - 1).astype(np.int32), n / total[owner], np.searchsorted(owner, np.arange(len(texts) + 1)))
 
 
 def train(bags: Bags, y: np.ndarray, use: np.ndarray, bits: int = BUCKET_BITS, dim: int = DIM, epochs: int = EPOCHS, rate: float = 0.5, seed: int = 42) -> Model:

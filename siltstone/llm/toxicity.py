@@ -196,18 +196,26 @@ class Words:
     @staticmethod
     def of(texts: list[str]) -> Words:
         """Texts are near copies if they agree in a band of four of their words' 16 MinHashes; of the four bands the one with the most company counts."""
-        names, begin, text, word = [], [], [], []
+        known, names, begin, text, word = np.zeros(0, np.uint64), [], [], [], []
         for h, doc, cp, starts, ends in read(texts):
             own, first, code = np.unique(h, return_index=True, return_inverse=True)
             pair = np.unique(doc * len(own) + code)
-            names.append(own)
-            begin.append(beginnings(cp, starts[first], ends[first]))
-            text.append(pair // max(1, len(own)))
+            text.append((pair // max(1, len(own))).astype(np.int32))
             word.append(own[pair % max(1, len(own))])
-        every, first = np.unique(np.concatenate([np.zeros(0, np.uint64), *names]), return_index=True)
-        begin = np.concatenate([np.zeros((0, LONGEST), np.uint64), *begin])[first]
-        pair = np.unique(np.concatenate([np.zeros(0, np.int64), *text]) * max(1, len(every)) + np.searchsorted(every, np.concatenate([np.zeros(0, np.uint64), *word])))
-        text, word = pair // max(1, len(every)), pair % max(1, len(every))
+            new = np.flatnonzero(~np.isin(own, known))
+            names.append(own[new])
+            begin.append(beginnings(cp, starts[first[new]], ends[first[new]]))
+            known = np.union1d(known, own[new])
+        order = np.argsort(np.concatenate([np.zeros(0, np.uint64), *names]))
+        begin = np.concatenate([np.zeros((0, LONGEST), np.uint64), *begin])[order]
+        every = known
+        pair = np.concatenate([np.zeros(0, np.int32), *text]) * np.int64(max(1, len(every)))
+        for i, at in zip(np.cumsum([0, *map(len, word)]).tolist(), word, strict=False):
+            pair[i : i + len(at)] += np.searchsorted(every, at)
+        del text, word
+        if len(pair) and (np.diff(pair) <= 0).any():  # a long text's parts fall together
+            pair = np.unique(pair)
+        text, word = (pair // max(1, len(every))).astype(np.int32), (pair % max(1, len(every))).astype(np.int32)
         weight = np.ones(len(texts))
         some, starts = np.unique(text, return_index=True)
         if len(some):
