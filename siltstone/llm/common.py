@@ -71,10 +71,28 @@ def forget(df: DataFrame) -> None:
         remove(df.sparkSession, path.rpartition("/")[0])
 
 
-def least_rows(docs: DataFrame, named: DataFrame, kept: DataFrame) -> DataFrame:
-    """Of named, the rows of docs with a doc_id and a mark of their text, those whose (doc_id, mark) is kept, each once (the least by its columns); and the rows of docs without a doc_id."""
-    rows = named.join(kept, ["doc_id", "mark"], "left_semi").groupBy("doc_id", "mark").agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return rows.select("row.*").unionByName(docs.where("doc_id IS NULL"))
+#: Ids that are broadcast at most.
+BROADCAST = 1_000_000
+
+
+def least_rows(docs: DataFrame, named: DataFrame, kept: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """Of named, the rows of docs with a doc_id and a mark of their text, those whose (doc_id, mark) is kept, each once (the least by its columns); and the rows of docs without a doc_id.
+
+    rows (doc_id, mark, n), how often each occurs in named, saves the shuffle of
+    most texts: unless they are too many, hashes of what is left out or repeated
+    are broadcast, and only texts of such a hash are compared.
+    """
+    key, whole = F.xxhash64("doc_id", "mark"), named
+    out = docs.where("doc_id IS NULL")
+    if rows is not None:
+        plain = rows.where("n = 1").join(kept, ["doc_id", "mark"], "left_semi").select("doc_id", "mark", F.lit(1).alias("plain"))
+        doubt = stash(rows.join(plain, ["doc_id", "mark"], "left").where("plain IS NULL").select(key.alias("_key")).distinct(), "doubt")
+        if doubt.count() <= BROADCAST:
+            keyed = named.withColumn("_key", key)
+            out = out.unionByName(keyed.join(F.broadcast(doubt), "_key", "left_anti").select(*docs.columns))
+            whole = keyed.join(F.broadcast(doubt), "_key", "left_semi").drop("_key")
+    least = whole.join(kept, ["doc_id", "mark"], "left_semi").groupBy("doc_id", "mark").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return least.select("row.*").unionByName(out)
 
 
 def crc_mod(doc_id: Column, n: int) -> Column:
@@ -124,6 +142,18 @@ def give_back() -> None:
     _trim()(0)
 
 
+def tidy(work):
+    """work for applyInArrow, which returns memory after each group."""
+
+    def run(key, rows):
+        try:
+            return work(key, rows)
+        finally:
+            give_back()
+
+    return run
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """The texts of a column; null counts as empty."""
     return ["" if x is None else x for x in column.to_pylist()]
