@@ -317,3 +317,30 @@ def test_fitted_lists(spark):
     assert {tuple(r)[:3] for r in search.ivf_topk(df, q, centres, 5, 5).collect()} == exact
     some = {tuple(r)[:3] for r in search.ivf_topk(df, q, centres, 5, 2).collect()}
     assert some and len({x[::2] for x in some} & {x[::2] for x in exact}) > 0.3 * len(exact)
+
+
+def test_graph_candidates_of_nulls_and_repeats(spark, monkeypatch):
+    """Against plain Python, some queries a task, and without a shuffle of the candidates."""
+    draw = random.Random(9)
+    mentions = [(draw.choice([*"abcdefghij", None]), draw.choice([*(f"c{i}" for i in range(30)), None])) for _ in range(300)]
+    edges = [(draw.choice([*"abcdefghijz", None]), draw.choice("abcdefghij")) for _ in range(8)]
+    asked = [(draw.choice([*range(9), None]), draw.choice([*"abcz", None])) for _ in range(25)]
+    want = {}
+    for q in {q for q, _ in asked}:
+        own = {e for x, e in asked if x == q and e}
+        own |= {y for a, b in edges if a for x, y in ((a, b), (b, a)) if x in own}
+        counts = {}
+        for e, c in mentions:
+            if e in own:
+                counts[c] = counts.get(c, 0) + 1
+        for rank, (c, n) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0] or "")), 1):
+            want[q, c] = (n, rank)
+    frames = spark.createDataFrame(mentions, "entity string, chunk_id string"), spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame(asked, "query_id long, entity string")
+    for pairs in (1 << 25, 62):
+        monkeypatch.setattr(search, "PAIRS", pairs)
+        found = search.graph_candidates(*frames)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and plan.count("Exchange") == 1, plan
+        assert {(r["query_id"], r["chunk_id"]): (r["score"], r["rank"]) for r in found.collect()} == want
+        assert found.columns == ["query_id", "chunk_id", "score", "rank"]
+    assert search.graph_candidates(*(f.limit(0) for f in frames)).collect() == []
