@@ -1,7 +1,8 @@
 """A training corpus in five stages: toxic documents go, then poor ones, then near copies; sources are mixed to target weights and what is left is packed into sequences.
 
 Each stage is written to the shared folder as Parquet and read again by the
-next, so a lost executor costs no earlier stage.
+next, so a lost executor costs no earlier stage. Before each stage the
+executors return the heap that the one before has filled.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.llm import mixing, nearcopies, packing, quality, toxicity
-from siltstone.llm.common import stash, table
+from siltstone.llm.common import release, stash, table
 from siltstone.llm.tokens import default_path
 
 
@@ -20,6 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     most are toxic. Repeated rows and rows without an id are judged like any
     other. All columns stay; an empty table stays empty.
     """
+    release(spark)
     return toxicity.clean_only(docs, table(spark, sf_dir, "labels"))
 
 
@@ -30,6 +32,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     without an id are judged like any other. All columns stay; an empty table
     stays empty.
     """
+    release(spark)
     return quality.good_only(docs, table(spark, sf_dir, "labels"))
 
 
@@ -41,6 +44,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     an id can't be named and all stay. All columns stay; an empty table stays
     empty.
     """
+    release(spark)
     return nearcopies.keep_first(docs)
 
 
@@ -51,6 +55,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     size 0 and are taken at most once. Repeated rows count one by one. All
     columns stay; an empty table stays empty.
     """
+    release(spark)
     return mixing.repeat_docs(docs)
 
 
@@ -60,6 +65,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Null and empty texts are one id, the end. Repeated rows and rows without an
     id are pieces of their own. An empty table gives an empty result.
     """
+    release(spark)
     return packing.pack(docs, default_path())
 
 

@@ -142,6 +142,15 @@ def give_back() -> None:
     _trim()(0)
 
 
+def release(spark: SparkSession) -> None:
+    """Has the executors' JVMs return the heap that finished work has filled: they keep it, up to their limit, while the next work's Python workers need the room beside it.
+
+    A task for each core collects its JVM's garbage, so each idle executor gets one; where none does, nothing else changes.
+    """
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.reflect(F.lit("java.lang.System"), F.lit("gc")).alias("done")).write.format("noop").mode("overwrite").save()
+
+
 def tidy(work):
     """work for applyInArrow, which returns memory after each group."""
 

@@ -119,28 +119,38 @@ class Model:
 
 @dataclasses.dataclass
 class Bags:
-    """Texts as their distinct rows, one text after another, and what share of the text's features each is; starts: where texts begin, and the end."""
+    """Texts as their distinct rows and how often each has them; held: both for each text, counts in as few bytes as they need. shares: of a text's features, from counts as they are asked for."""
 
-    rows: np.ndarray
-    shares: np.ndarray
-    starts: np.ndarray
+    held: list[tuple[np.ndarray, np.ndarray]]
 
     def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        own = slice(self.starts[i], self.starts[i + 1])
-        return self.rows[own], self.shares[own]
+        rows, n = self.held[i]
+        return rows, n.astype(np.int32) / np.float32(max(1, n.sum(dtype=np.int64)))
+
+    @property
+    def rows(self) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.int32), *(rows for rows, _ in self.held)])
+
+    @property
+    def shares(self) -> np.ndarray:
+        return np.concatenate([np.zeros(0), *(self[i][1] for i in range(len(self.held)))])
 
 
 def bags_of(texts: list[str], bits: int = BUCKET_BITS) -> Bags:
-    found = [np.unique((owners << bits) + rows, return_counts=True) for rows, owners in features(texts, bits)]
-    code = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in found)])
-    n = np.concatenate([np.zeros(0, np.int32), *(x.astype(np.int32) for _, x in found)])
-    del found
-    if len(code) and (np.diff(code) <= 0).any():  # a long text's parts fall together
-        code, at = np.unique(code, return_inverse=True)
-        n = np.bincount(at, n, len(code)).astype(np.int32)
-    owner = (code >> bits).astype(np.int32)
-    total = np.bincount(owner, n, len(texts)).astype(np.float32)
-    return Bags((code & (1 << bits) - 1).astype(np.int32), n / total[owner], np.searchsorted(owner, np.arange(len(texts) + 1)))
+    """A round's rows are counted and dealt to their texts at once, so beside the bags there is one round's features, however many texts there are."""
+    held = [(np.zeros(0, np.int32), np.zeros(0, np.uint8))] * len(texts)
+    for rows, owners in features(texts, bits):
+        low = int(owners.min(initial=0))
+        code, n = np.unique((owners - low << bits) + rows, return_counts=True)
+        owner = code >> bits
+        cut = np.flatnonzero(np.diff(owner)) + 1
+        for i, own, many in zip(owner[np.concatenate(([0], cut))] + low if len(owner) else [], np.split(code, cut), np.split(n, cut), strict=False):
+            own = own & (1 << bits) - 1
+            if len(held[i][0]):  # a long text's parts fall together
+                own, at = np.unique(np.concatenate((held[i][0], own)), return_inverse=True)
+                many = np.bincount(at, np.concatenate((held[i][1], many)), len(own)).astype(np.int64)
+            held[i] = own.astype(np.int32), many.astype(np.min_scalar_type(int(many.max())))
+    return Bags(held)
 
 
 def train(bags: Bags, y: np.ndarray, use: np.ndarray, bits: int = BUCKET_BITS, dim: int = DIM, epochs: int = EPOCHS, rate: float = 0.5, seed: int = 42) -> Model:

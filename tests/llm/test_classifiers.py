@@ -1,6 +1,8 @@
 import math
 import random
+import tracemalloc
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -244,6 +246,31 @@ def test_windows_of_long_texts_change_nothing(toxic, monkeypatch):
     assert np.array_equal(bags.rows, again.rows) and np.allclose(bags.shares, again.shares)
 
 
+def test_bags_take_little_memory():
+    """Beside the bags, at most 6 bytes for a distinct feature of a text here, one round's features are held."""
+    draw = random.Random(6)
+    texts = [prose(draw, 400) for _ in range(2500)]
+    list(quality.features(texts[:200]))  # tables that are kept
+    tracemalloc.start()
+    bags = quality.bags_of(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(bags.rows) > 2_000_000
+    assert peak < 6 * len(bags.rows) + 200 * quality.ROUND
+
+
+def test_bags_are_counts_of_rows(monkeypatch):
+    """Counts of one, two and more bytes, and texts in one round and in several."""
+    texts = ["a b", "", "again " * 400, "x" * 70_000, " \t"]
+    for size in (quality.ROUND, 300):
+        monkeypatch.setattr(quality, "ROUND", size)
+        bags = quality.bags_of(texts)
+        for i in range(len(texts)):
+            n = Counter(x for rows, owners in quality.features(texts) for x in rows[owners == i].tolist())
+            rows, shares = bags[i]
+            assert rows.tolist() == sorted(n) and shares.tolist() == [n[x] / max(1, n.total()) for x in sorted(n)]
+
+
 @pytest.mark.parametrize("kind", ["none", "one class", "no rows"])
 def test_without_labels_or_rows(spark, empty, docs, kind):
     labels = spark.createDataFrame([] if kind == "none" else [(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")

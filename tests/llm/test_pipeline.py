@@ -109,3 +109,16 @@ def test_stages_bear_odd_rows(spark, sf_dir, kind):
         if name == "near_copies" and kind == "odd":
             ids = [r["doc_id"] for r in docs.collect()]
             assert len(ids) == len(set(ids)) and 2 not in ids and None in ids and before > len(ids)
+
+
+def test_stages_begin_with_heaps_released(spark, sf_dir):
+    """Each stage has the executors' JVMs, here the only one, collect their garbage before it works."""
+
+    def collections():
+        return sum(x.getCollectionCount() for x in spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans() if "Young" not in x.getName())
+
+    docs = spark.createDataFrame([], SCHEMA)
+    for _, stage in corpus_pipeline.STAGES:
+        before = collections()
+        stage(spark, docs, sf_dir)
+        assert collections() > before
