@@ -66,7 +66,9 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     id are pieces of their own. An empty table gives an empty result.
     """
     release(spark)
-    return packing.pack(docs, default_path())
+    cut = packing.cut(docs, default_path())
+    release(spark)
+    return packing.placed(cut)
 
 
 STAGES = [

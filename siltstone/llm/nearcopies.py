@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import BROADCAST, components, forget, least_rows, lowered, map_arrow, mix, shingle_hashes, stash, texts_of, tidy
+from siltstone.llm.common import BROADCAST, components, forget, least_rows, lowered, map_arrow, mix, release, shingle_hashes, stash, texts_of, tidy
 from siltstone.llm.simhash import fingerprint, near_links
 
 SHINGLE = 5
@@ -255,6 +255,7 @@ def unmet(own: DataFrame, state: DataFrame, least: float) -> DataFrame:
     held_by = held.join(state.select("same", "root"), "same")
     mixed_ = stash(held_by.groupBy(F.pmod("token", F.lit(1 + held.count() // POSTINGS)).alias("bucket")).applyInArrow(tidy(mixed), "token long, same long, size long"), "mixed")
     forget(held)
+    release(own.sparkSession)
     blocks = F.ceil(F.col("size") / BLOCK)
     dealt = mixed_.withColumns({"own": F.pmod(F.xxhash64("same"), blocks), "other": F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))})
     dealt = dealt.select("token", "same", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")).join(coarse(state), "same")
@@ -313,23 +314,29 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST) ->
     distinct = stash(own.groupBy("same").agg(F.min(F.struct("doc_id", "mark")).alias("least"), F.min("fp").alias("fp"), *firsts), "distinct")
     rows = stash(own.groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("n")), "rows")
     repeated = bool(rows.where("n > 1").head(1))
+    release(docs.sparkSession)
     roots = components(links_of(named, distinct, candidates(distinct), shingle, least, repeated))
     state = stash(_with_roots(distinct, roots).select("same", "root", "n", "parity"), "state")
+    release(docs.sparkSession)
     missing = links_of(named, distinct, unmet(own, state, least), shingle, least, repeated)
     forget(own)
     forget(state)
     roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(missing))
     rooted = _with_roots(distinct, roots).groupBy("root").agg(F.min("least").alias("least"))
-    return least_rows(docs, named, stash(rooted.select("least.doc_id", "least.mark"), "kept"), rows)
+    kept = stash(rooted.select("least.doc_id", "least.mark"), "kept")
+    release(docs.sparkSession)
+    return least_rows(docs, named, kept, rows)
 
 
 def links_of(named: DataFrame, distinct: DataFrame, pairs: DataFrame, shingle: int, least: float, repeated: bool) -> DataFrame:
     """Of candidates (a, b), those that are linked."""
     pairs = stash(possible(pairs, distinct, least), "candidates")
+    release(named.sparkSession)
     sets = sets_of(named, distinct, pairs, shingle, repeated)
     found = stash(like(pairs, sets, least), "near")
     forget(sets)
     forget(pairs)
+    release(named.sparkSession)
     return found
 
 

@@ -214,7 +214,16 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 4096, end: int = 1) -> D
     empty table gives an empty result. Columns other than doc_id and text are
     not read.
     """
-    cut = stash(pieces(docs, tokenizer, length, end).withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    return placed(cut(docs, tokenizer, length, end), length)
+
+
+def cut(docs: DataFrame, tokenizer: str, length: int = 4096, end: int = 1) -> DataFrame:
+    """The pieces of pack(), written to the shared folder."""
+    return stash(pieces(docs, tokenizer, length, end).withColumn("_row", F.monotonically_increasing_id()), "pieces")
+
+
+def placed(cut: DataFrame, length: int = 4096) -> DataFrame:
+    """The rows of pack(), from those of cut()."""
     return place(cut, length).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

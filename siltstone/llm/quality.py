@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import crc_mod, map_arrow, mix, places, table, texts_of, windows, word_sums
+from siltstone.llm.common import crc_mod, map_arrow, mix, places, release, table, texts_of, windows, word_sums
 from siltstone.llm.labelled import logistic, sample
 
 BUCKET_BITS = 18
@@ -250,6 +250,7 @@ def good_only(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Dat
     unless the one label is 0.
     """
     model = learn(docs, labels)
+    release(docs.sparkSession)
 
     def work(batches):
         for b in batches:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import crc_mod, map_arrow, mix, places, table, texts_of, word_sums
+from siltstone.llm.common import crc_mod, map_arrow, mix, places, release, table, texts_of, word_sums
 from siltstone.llm.labelled import arranged, chosen, logistic
 from siltstone.llm.quality import ROUND, pieces
 
@@ -330,6 +330,7 @@ def clean_only(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Da
     stay, unless the one label is toxic.
     """
     model = learn(docs, labels)
+    release(docs.sparkSession)
 
     def work(batches):
         for b in batches:
