@@ -344,3 +344,16 @@ def test_graph_candidates_of_nulls_and_repeats(spark, monkeypatch):
         assert {(r["query_id"], r["chunk_id"]): (r["score"], r["rank"]) for r in found.collect()} == want
         assert found.columns == ["query_id", "chunk_id", "score", "rank"]
     assert search.graph_candidates(*(f.limit(0) for f in frames)).collect() == []
+
+
+def test_graph_candidates_are_compact(spark, tmp_path):
+    """Written as Parquet, a candidate takes few bytes, as rows of several queries take turns."""
+    draw = random.Random(4)
+    mentions = [(f"e{draw.randrange(40)}", f"{draw.randrange(10**6)}-CH-{i:04d}") for i in range(4000) for _ in range(5)]
+    asked = [(q, e) for q in range(48) for e in (f"e{draw.randrange(40)}", "e0")] + [(q, f"e{e}") for q in range(48) for e in range(1, 30)]
+    found = search.graph_candidates(spark.createDataFrame(mentions, "entity string, chunk_id string"), spark.createDataFrame([("e0", "e1")], "src string, dst string"), spark.createDataFrame(asked, "query_id long, entity string").coalesce(1))
+    found.write.parquet(str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    rows = back.count()
+    assert rows > 400_000 and back.select("query_id", "chunk_id").distinct().count() == rows
+    assert sum(p.stat().st_size for p in (tmp_path / "out").glob("*.parquet")) < 5 * rows
